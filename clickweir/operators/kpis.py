@@ -139,6 +139,7 @@ def dashboard_kpis(df: DataFrame, window_seconds: int = 3600) -> DataFrame:
             "error_rate": ratio(F.col("errors"), F.col("total_events")),
             "purchase_rate": ratio(F.col("purchases"), F.col("total_events")),
             "conversion_rate": F.round(F.col("purchases") / F.greatest(F.col("page_views"), F.lit(1)), 4),
-            "revenue_avg": F.round(F.col("revenue_total") / purchases, 2),
+            # Six digits first: the last bits of a sum depend on the order it was taken in.
+            "revenue_avg": F.round(F.round(F.col("revenue_total") / purchases, 6), 2),
         }
     )

@@ -50,9 +50,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "p
     is given, not inferred, which also keeps date partitions text."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    if fmt != "parquet":
-        return spark.read.format(fmt).load(path).select(schema.fieldNames())
-    return spark.read.schema(schema).parquet(path)
+    reader = spark.read.schema(schema) if fmt == "parquet" else spark.read
+    return reader.format(fmt).load(path).select(schema.fieldNames())
 
 
 def between_dates(df: DataFrame, start: str, end: str) -> DataFrame:
