@@ -154,7 +154,8 @@ def s9_alert_sink(spark, folder):
 
 @query
 def s10_read_bronze_date(spark, folder):
-    return tables.between_dates(bronze_table(spark, lake.bronze_lake(spark, folder)), "2024-01-15", "2024-01-15")
+    layout = lake.bronze_lake(spark, folder)
+    return tables.read_dates(spark, layout.bronze, schemas.CLEAN_EVENT, "2024-01-15", "2024-01-15")
 
 
 @query

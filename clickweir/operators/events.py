@@ -18,7 +18,7 @@ def deduplicate(df: DataFrame, per_day: bool = False) -> DataFrame:
     Ties fall to the smallest remaining columns, so re-runs agree. Catalyst turns ``= 1`` into a
     group limit ahead of the shuffle: however often an id repeats, each map task sends one row.
     """
-    keys = ["event_date", "event_id"] if per_day else ["event_id"]
+    keys = ["event_id", "event_date"] if per_day else ["event_id"]
     ties = [f.name for f in df.schema if f.name not in keys + ["timestamp"] and not isinstance(f.dataType, MapType)]
     first = Window.partitionBy(*keys).orderBy("timestamp", *ties)
     return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
@@ -39,12 +39,12 @@ def enrich_columns(df: DataFrame) -> DataFrame:
 
 def number_events(df: DataFrame, per_day: bool = False, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """``event_number_in_session`` by timestamp, then event id."""
-    group = ["event_date", "session_id"] if per_day else ["session_id"]
+    group = ["session_id", "event_date"] if per_day else ["session_id"]
     return number_in_group(df, group, "event_number_in_session", slice_seconds=slice_seconds)
 
 
-def enrich(df: DataFrame, per_day: bool = False) -> DataFrame:
-    return enrich_columns(number_events(df, per_day))
+def enrich(df: DataFrame, per_day: bool = False, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    return enrich_columns(number_events(df, per_day, slice_seconds))
 
 
 def score_quality(df: DataFrame, as_of=None) -> DataFrame:

@@ -14,12 +14,22 @@ from pyspark.sql import functions as F
 from clickweir.settings import SESSION_GAP_SECONDS, SLICE_SECONDS
 
 
-def _sliced(df: DataFrame, group: list[str], ts: str, slice_seconds: int) -> DataFrame:
-    """Add ``_group`` (never NULL; NULLs form one group of their own) and ``_slice``."""
-    parts = [F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("~")) for name in group]
-    key = parts[0] if len(parts) == 1 else F.to_json(F.array(*parts))
+def slice_width(rows: int, seconds: int, rows_per_slice: int = 2_000_000) -> int:
+    """Slice width for an input of ``rows`` over ``seconds``, such that a group with a third of all
+    rows has about ``rows_per_slice`` of them in each slice; at least a second."""
+    per_second = rows / 3 / max(seconds, 1)
+    return max(1, min(SLICE_SECONDS, int(rows_per_slice / max(per_second, 1e-9))))
+
+
+def _sliced(df: DataFrame, group: list[str], ts: str, slice_seconds: int) -> tuple[DataFrame, list[str]]:
+    """Add key columns of the group (never NULL; NULLs form one group of their own) and ``_slice``;
+    also returns the names of the key columns."""
+    keys = {
+        f"_key{i}": F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("~"))
+        for i, name in enumerate(group)
+    }
     part = F.floor(F.unix_seconds(F.col(ts)) / F.lit(slice_seconds))
-    return df.withColumns({"_group": key, "_slice": part})
+    return df.withColumns({**keys, "_slice": part}), list(keys)
 
 
 def number_in_group(
@@ -31,20 +41,21 @@ def number_in_group(
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """1, 2, 3, ... within each group by ``ts`` then ``tiebreak``; NULL groups number as one."""
-    rows = _sliced(df, group, ts, slice_seconds)
-    inside = Window.partitionBy("_group", "_slice").orderBy(ts, tiebreak)
-    earlier = Window.partitionBy("_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    rows, keys = _sliced(df, group, ts, slice_seconds)
+    inside = Window.partitionBy(*keys, "_slice").orderBy(ts, tiebreak)
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # Only slices with earlier rows are joined back; most sessions lie within one slice.
     offsets = (
-        rows.groupBy("_group", "_slice")
+        rows.groupBy(*keys, "_slice")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_group", "_slice", F.sum("_rows").over(earlier).alias("_before"))
+        .select(*keys, "_slice", F.sum("_rows").over(earlier).alias("_before"))
         .filter(F.col("_before") > 0)
     )
     return (
         rows.withColumn(out, F.row_number().over(inside).cast("bigint"))
-        .join(offsets, ["_group", "_slice"], "left")
+        .join(offsets, [*keys, "_slice"], "left")
         .withColumn(out, F.col(out) + F.coalesce(F.col("_before"), F.lit(0)))
-        .drop("_group", "_slice", "_before")
+        .drop(*keys, "_slice", "_before")
     )
 
 
@@ -60,30 +71,29 @@ def visits(
     """Sessions by silence: an event joins its user's open visit iff it comes less than
     ``gap_seconds`` after the one before. ``out`` becomes ``<user>-<n>``; NULL users get NULL."""
     gap = gap_seconds * 1_000_000
-    inside = Window.partitionBy("_group", "_slice").orderBy(ts, tiebreak)
-    by_slice = Window.partitionBy("_group").orderBy("_slice")
-    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
 
-    def micros_since(previous, current):
-        return F.unix_micros(current) - F.unix_micros(previous)
+    def breaks(previous, current):
+        return F.unix_micros(current) - F.unix_micros(previous) >= gap
+
+    rows, keys = _sliced(df, [user], ts, slice_seconds)
+    inside = Window.partitionBy(*keys, "_slice").orderBy(ts, tiebreak)
+    by_slice = Window.partitionBy(*keys).orderBy("_slice")
+    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
 
-    rows = _sliced(df, [user], ts, slice_seconds)
-    previous = F.lag(ts).over(inside)
-    marked = rows.withColumn("_opens", F.coalesce(micros_since(previous, F.col(ts)) >= gap, F.lit(False)).cast("int"))
+    # Breaks between the events of a slice, then the breaks between slices.
+    opens = F.coalesce(breaks(F.lag(ts).over(inside), F.col(ts)), F.lit(False)).cast("int")
+    marked = rows.withColumn("_opens", opens)
+    head = F.coalesce(breaks(F.lag("_last").over(by_slice), F.col("_first")), F.lit(True)).cast("int")
+    before = F.coalesce(F.sum(F.col("_head") + F.col("_inner")).over(earlier), F.lit(0))
     slices = (
-        marked.groupBy("_group", "_slice")
+        marked.groupBy(*keys, "_slice")
         .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.sum("_opens").alias("_inner"))
-        .withColumn("_head", F.coalesce(
-            micros_since(F.lag("_last").over(by_slice), F.col("_first")) >= gap, F.lit(True)).cast("int"))
-        .select(
-            "_group", "_slice",
-            (F.col("_head") + F.coalesce(F.sum(F.col("_head") + F.col("_inner")).over(earlier), F.lit(0)))
-            .alias("_base"),
-        )
+        .withColumn("_head", head)
+        .select(*keys, "_slice", (F.col("_head") + before).alias("_base"))
     )
     return (
         marked.withColumn("_run", F.sum("_opens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-        .join(slices, ["_group", "_slice"])
+        .join(slices, [*keys, "_slice"])
         .withColumn(out, F.concat(F.col(user), F.lit("-"), (F.col("_base") + F.col("_run")).cast("string")))
-        .drop("_group", "_slice", "_opens", "_run", "_base")
+        .drop(*keys, "_slice", "_opens", "_run", "_base")
     )

@@ -14,8 +14,8 @@ def severity(count):
     return F.when(count >= 100, "critical").when(count >= 50, "high").when(count >= 10, "medium").otherwise("low")
 
 
-def anomaly_summary(df: DataFrame, window_seconds: int = 3600, as_of=None) -> DataFrame:
-    """Flagged events per window and type. No anomalies give an empty table of the same schema.
+def summarise(flagged: DataFrame, window_seconds: int = 3600, as_of=None) -> DataFrame:
+    """Flagged events per window and type.
 
     ``metric_value`` is the slowest response (ms) for slow responses and the count otherwise, while
     ``metric_threshold`` is a rate, a z-score or 1: the two have different units by contract.
@@ -23,8 +23,7 @@ def anomaly_summary(df: DataFrame, window_seconds: int = 3600, as_of=None) -> Da
     kind = F.col("anomaly_type")
     spike, slow = kind == "error_rate_spike", kind == "slow_response"
     return conform(
-        df.filter("is_anomaly")
-        .groupBy(tumbling("timestamp", window_seconds).alias("_window"), "anomaly_type")
+        flagged.groupBy(tumbling("timestamp", window_seconds).alias("_window"), "anomaly_type")
         .agg(
             F.count("event_id").alias("anomaly_count"),
             F.avg("anomaly_score").alias("avg_anomaly_score"),
@@ -48,3 +47,8 @@ def anomaly_summary(df: DataFrame, window_seconds: int = 3600, as_of=None) -> Da
         .withColumn("event_date", F.to_date("window_start").cast("string")),
         ANOMALY_SUMMARY,
     )
+
+
+def anomaly_summary(df: DataFrame, window_seconds: int = 3600, as_of=None) -> DataFrame:
+    """The same from all events. No anomalies give an empty table of the same schema."""
+    return summarise(df.filter("is_anomaly"), window_seconds, as_of)

@@ -5,9 +5,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
 
 from clickweir.operators.ingest import clean_events, dead_letters, parse_events
 from clickweir.plans.config import Layout
@@ -23,19 +21,9 @@ def create_tables(spark: SparkSession, layout: Layout) -> None:
     tables.create_if_missing(spark, layout.dead_letter, DEAD_LETTER, fmt=layout.fmt)
 
 
-def _write(parsed: DataFrame, layout: Layout, batch_id: str, as_of) -> None:
-    tables.append_batch(clean_events(parsed), layout.bronze, BRONZE_PARTITIONS, batch_id, layout.fmt)
-    tables.append_batch(dead_letters(parsed, as_of), layout.dead_letter, [], batch_id, layout.fmt)
-
-
-def _written(spark: SparkSession, layout: Layout, batch_id: str) -> dict[str, int]:
-    """Row counts of a batch, from the tables: retried tasks cannot inflate them."""
-
-    def rows(path, schema):
-        tagged = StructType(schema.fields + [StructField("ingest_id", StringType())])
-        return tables.read_table(spark, path, tagged, layout.fmt).filter(F.col("ingest_id") == batch_id).count()
-
-    return {"clean": rows(layout.bronze, CLEAN_EVENT), "dead_letter": rows(layout.dead_letter, DEAD_LETTER)}
+def _write(parsed: DataFrame, layout: Layout, batch_id: str, as_of, write=tables.append_batch) -> None:
+    write(clean_events(parsed), layout.bronze, BRONZE_PARTITIONS, batch_id, layout.fmt)
+    write(dead_letters(parsed, as_of), layout.dead_letter, [], batch_id, layout.fmt)
 
 
 def run_batch(
@@ -52,8 +40,11 @@ def run_batch(
     create_tables(spark, layout)
     lines = raw.read_array_files(spark, input_path) if json_array else raw.read_lines(spark, input_path)
     batch_id = batch_id or hashlib.sha256(input_path.encode()).hexdigest()[:16]
-    _write(parse_events(lines), layout, batch_id, as_of)
-    return _written(spark, layout, batch_id)
+    _write(parse_events(lines), layout, batch_id, as_of, tables.replace_batch)
+    # Counted in the tables, where retried tasks cannot inflate them.
+    clean = tables.read_batch(spark, layout.bronze, CLEAN_EVENT, BRONZE_PARTITIONS, batch_id, layout.fmt)
+    dead = tables.read_batch(spark, layout.dead_letter, DEAD_LETTER, [], batch_id, layout.fmt)
+    return {"clean": clean.count(), "dead_letter": dead.count()}
 
 
 def start_stream(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clickweir.functions.timing import DAY_SECONDS, window_label, window_seconds
@@ -59,8 +58,7 @@ def _refresh(
     if not read:
         return {"silver_read": 0, **dict.fromkeys(names, 0)}
     tables.replace_dates(compute(silver), path, *dates, window=window, fmt=layout.fmt)
-    table = tables.between_dates(tables.read_table(spark, path, schema, layout.fmt), *dates)
-    written = (table.filter(F.col("window_duration") == window) if window else table).count()
+    written = tables.read_dates(spark, path, schema, *dates, window=window, fmt=layout.fmt).count()
     return {"silver_read": read, **dict.fromkeys(names, written)}
 
 

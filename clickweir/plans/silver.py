@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.functions.timing import instant
+from clickweir.functions.timing import DAY_SECONDS, days_in, instant
 from clickweir.operators.alerts import alert_messages, alert_rows
 from clickweir.operators.anomalies import flag_anomalies, no_anomalies
 from clickweir.operators.events import deduplicate, enrich, score_quality, split_quality, stamp
+from clickweir.operators.ordering import slice_width
 from clickweir.plans.config import Layout
 from clickweir.schemas import CLEAN_EVENT, QUARANTINE, SCORED_EVENT, SILVER_EVENT, conform
+from clickweir.settings import SLICE_SECONDS
 from clickweir.sources import tables
 from clickweir.sources.session import use_utc
 
@@ -23,14 +25,14 @@ def create_tables(spark: SparkSession, layout: Layout) -> None:
 
 
 def read_silver(spark: SparkSession, layout: Layout, start: str, end: str) -> DataFrame:
-    table = tables.read_table(spark, layout.silver, SILVER_EVENT, layout.fmt)
-    return tables.between_dates(table, start, end)
+    return tables.read_dates(spark, layout.silver, SILVER_EVENT, start, end, fmt=layout.fmt)
 
 
-def scored_events(bronze: DataFrame, as_of=None) -> DataFrame:
+def scored_events(bronze: DataFrame, as_of=None, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Deduplicated, enriched and scored events. Each day is on its own, so a range gives the same
     rows as its days one by one."""
-    return conform(score_quality(enrich(deduplicate(bronze, per_day=True), per_day=True), as_of), SCORED_EVENT)
+    enriched = enrich(deduplicate(bronze, per_day=True), True, slice_seconds)
+    return conform(score_quality(enriched, as_of), SCORED_EVENT)
 
 
 def send_alerts(silver: DataFrame, layout: Layout, start: str, end: str, as_of=None) -> int:
@@ -67,7 +69,7 @@ def run(
     dates = tables.resolve_dates(spark, layout.bronze, event_date, start, end)
     if dates is None:
         return none
-    bronze = tables.between_dates(tables.read_table(spark, layout.bronze, CLEAN_EVENT, layout.fmt), *dates)
+    bronze = tables.read_dates(spark, layout.bronze, CLEAN_EVENT, *dates, fmt=layout.fmt)
     bronze_read = bronze.count()
     if not bronze_read:
         return none
@@ -75,7 +77,8 @@ def run(
         # One moment for the whole run; tasks that run again must see the same clock.
         as_of = spark.range(1).select(instant(None).alias("now")).first()["now"]
 
-    scored, scratch = tables.staged(scored_events(bronze, as_of), "scored")
+    width = slice_width(bronze_read, len(days_in(*dates)) * DAY_SECONDS)
+    scored, scratch = tables.staged(scored_events(bronze, as_of, width), "scored")
     try:
         passed, quarantined = split_quality(scored)
         judged = no_anomalies(passed) if skip_anomalies else flag_anomalies(passed, per_day=True)

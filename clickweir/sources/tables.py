@@ -60,6 +60,32 @@ def between_dates(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.filter(date == start) if start == end else df.filter((date >= start) & (date <= end))
 
 
+def read_dates(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    start: str,
+    end: str,
+    window: str | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """The rows of some dates (and of one window duration). Only the folders of these dates are
+    listed, so the cost of a daily run does not grow with the age of the table."""
+    if fmt != "parquet":
+        rows = between_dates(read_table(spark, path, schema, fmt), start, end)
+        return rows.filter(F.col("window_duration") == window) if window else rows
+    folder = f"{path}/window_duration={window}" if window else path
+    first, last = f"event_date={start}", f"event_date={end}"
+    return _read_folders(spark, path, schema, [f"{folder}/{d}" for d in _children(spark, folder) if first <= d <= last])
+
+
+def _read_folders(spark: SparkSession, path: str, schema: StructType, folders: list[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(*folders).select(schema.fieldNames())
+
+
 def latest_date(spark: SparkSession, path: str) -> str | None:
     """The newest ``event_date`` partition, from the folder names alone."""
     dates = [name.split("=", 1)[1] for name in _children(spark, path) if name.startswith("event_date=")]
@@ -98,6 +124,35 @@ def append_batch(df: DataFrame, path: str, partition_by: list[str], batch_id: st
     writer.save(path)
 
 
+def batch_folders(spark: SparkSession, path: str, partition_by: list[str], batch_id: str) -> list[str]:
+    """The folders a batch has written to."""
+    levels = "".join(f"/{name}=*" for name in partition_by)
+    fs, pattern = _fs(spark, f"{path}{levels}/ingest_id={batch_id}")
+    return sorted(str(s.getPath()) for s in fs.globStatus(pattern) or [])
+
+
+def replace_batch(
+    df: DataFrame, path: str, partition_by: list[str], batch_id: str, fmt: str = "parquet"
+) -> None:
+    """As ``append_batch``, for input that may have changed since: partitions that only the earlier
+    run of the batch wrote to are removed."""
+    spark = df.sparkSession
+    before = {f: set(_children(spark, f)) for f in batch_folders(spark, path, partition_by, batch_id)}
+    append_batch(df, path, partition_by, batch_id, fmt)
+    for folder, files in before.items():
+        if fmt != "delta" and set(_children(spark, folder)) == files:
+            remove(spark, folder)
+
+
+def read_batch(
+    spark: SparkSession, path: str, schema: StructType, partition_by: list[str], batch_id: str, fmt: str = "parquet"
+) -> DataFrame:
+    """The rows of one batch."""
+    if fmt != "parquet":
+        return spark.read.format(fmt).load(path).filter(F.col("ingest_id") == batch_id).select(schema.fieldNames())
+    return _read_folders(spark, path, schema, batch_folders(spark, path, partition_by, batch_id))
+
+
 def _files_by_date(spark: SparkSession, path: str, prefix: str, dates: list[str]) -> dict[str, set[str]]:
     present = set(_children(spark, f"{path}/{prefix}"))
     return {

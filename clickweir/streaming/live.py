@@ -6,14 +6,14 @@ Exact distinct counts, row numbers and the whole-input bounce rate need all rows
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweir import settings
 from clickweir.functions.timing import seconds_between
 from clickweir.operators import kpis
 from clickweir.operators.events import enrich_columns, score_quality
-from clickweir.operators.summaries import anomaly_summary
+from clickweir.operators.summaries import summarise
 
 DELAY = "1 hour"
 
@@ -28,6 +28,12 @@ def scored(events: DataFrame, as_of=None) -> DataFrame:
     return score_quality(enrich_columns(events), as_of)
 
 
+def _after_watermark(events: DataFrame, condition: Column) -> DataFrame:
+    """Filter without holding the watermark back. Spark moves a filter ahead of the watermark unless
+    it reads the event time; then only matching events would advance it, and windows close late."""
+    return events.filter(F.when(condition, F.col("timestamp")).isNotNull())
+
+
 def live_kpis(
     events: DataFrame,
     window_seconds: int = 3600,
@@ -41,7 +47,8 @@ def live_kpis(
 
 
 def live_anomaly_summary(events: DataFrame, window_seconds: int = 3600, delay: str = DELAY, as_of=None) -> DataFrame:
-    return anomaly_summary(events.withWatermark("timestamp", delay), window_seconds, as_of)
+    flagged = _after_watermark(events.withWatermark("timestamp", delay), F.col("is_anomaly"))
+    return summarise(flagged, window_seconds, as_of)
 
 
 def live_visits(
@@ -51,8 +58,7 @@ def live_visits(
     apart; a visit ends there, so the gap is a microsecond shorter."""
     gap = f"{gap_seconds * 1_000_000 - 1} microseconds"
     return (
-        events.filter(F.col("user_id").isNotNull())
-        .withWatermark("timestamp", delay)
+        _after_watermark(events.withWatermark("timestamp", delay), F.col("user_id").isNotNull())
         .groupBy(F.session_window("timestamp", gap).alias("_visit"), "user_id")
         .agg(
             F.min("timestamp").alias("session_start"),
