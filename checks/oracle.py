@@ -278,6 +278,7 @@ def statements() -> dict[str, str]:
     out["s3_parse_json"] = _sql(
         "SELECT " + ", ".join(f'CASE WHEN NOT ({broken}) THEN {text} END AS "{name}"' for name, text in texts.items())
         + " FROM rep", "rep")
+    out["s2_jsonl_source"] = out["s3_parse_json"]
     out["s4_bronze_table"] = _sql(_bronze_columns("bz"), "bz")
     out["t1_bronze_stream"] = out["s4_bronze_table"]
     out["s5_dead_letters"] = _sql("""SELECT CASE WHEN (num // 97) % 4 IN (1, 2) THEN event_id END AS event_id,
@@ -349,6 +350,10 @@ def statements() -> dict[str, str]:
     # -- aggregations
     out["a1_kpis_hourly"] = _sql(_kpis("b"), "b", w=_windowed("b", "1 HOUR", "1h"))
     out["a1_kpis_five_minutes"] = _sql(_kpis("b"), "b", w=_windowed("b", "5 MINUTE", "5m"))
+    out["a1_kpis_estimated"] = _sql(
+        "SELECT * EXCLUDE (unique_users, unique_sessions, bounce_rate) FROM kp", "b",
+        w=_windowed("b", "1 HOUR", "1h"), kp=_kpis("b"))
+    out["a3_funnels_estimated"] = _sql("SELECT window_start, funnel_step, event_count FROM steps", "v", steps=_steps("v"))
     out["a2_sessions"] = _sql(_sessions("v"), "v")
     out["a3_funnels_daily"] = _sql(_FUNNELS, "v", steps=_steps("v"))
     out["a4_anomaly_summary"] = _sql(_summary("fl"), "fl")
