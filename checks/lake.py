@@ -6,28 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickweir.plans import bronze, gold, silver
 from clickweir.plans.config import Layout
-from clickweir.sources import clicks
+from clickweir.sources import clicks, tables
 from clickweir.sources.session import scratch_path
 
 FIRST, LAST = "2024-01-01", "2024-01-31"
-_BUILT: dict[tuple[str, str, str], Layout] = {}
+_BUILT: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark: SparkSession, folder: str, stage: str, build):
+    key = (spark.sparkContext.applicationId, folder, stage)
+    if key not in _BUILT:
+        _BUILT[key] = build()
+    return _BUILT[key]
+
+
+def visited(spark: SparkSession, folder: str) -> DataFrame:
+    """The clean events with their sessions, as a table: what the later stages read is stored, not
+    derived again by each query."""
+    table, _ = _once(spark, folder, "visited", lambda: tables.staged(clicks.visited(spark, folder), "visited"))
+    return table
 
 
 def lines_folder(spark: SparkSession, folder: str) -> str:
     """The events as JSON line files."""
-    rows = clicks.repeated(clicks.blemished(clicks.visited(spark, folder)))
+    rows = clicks.repeated(clicks.blemished(visited(spark, folder)))
     path = scratch_path(spark, "lines")
     clicks.raw_lines(rows).write.text(path)
     return path
 
 
-def _once(spark: SparkSession, folder: str, stage: str, build) -> Layout:
-    key = (spark.sparkContext.applicationId, folder, stage)
-    if key not in _BUILT:
-        _BUILT[key] = build()
-    return _BUILT[key]
-
-
 def bronze_lake(spark: SparkSession, folder: str) -> Layout:
     def build():
         layout = Layout(scratch_path(spark, "lake"))

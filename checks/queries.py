@@ -50,7 +50,7 @@ def registered() -> dict:
 
 # ---------------------------------------------------------------- shared inputs
 
-visited = clicks.visited
+visited = lake.visited
 
 
 def dirty(spark, folder):
@@ -297,7 +297,7 @@ def w5_next_step(spark, folder):
 
 @query
 def w6_visits(spark, folder):
-    return visited(spark, folder).select("event_id", "session_id")
+    return clicks.visited(spark, folder).select("event_id", "session_id")
 
 
 @query
@@ -588,7 +588,8 @@ def r27_dashboard_funnels(spark, folder):
 @query
 def exact_quantiles_by_type(spark, folder):
     return quantiles.exact_quantiles(
-        clicks.events(spark, folder), "response_time_ms", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, ["event_type"])
+        clicks.events(spark, folder), "response_time_ms", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, ["event_type"]
+    ).drop("lowest", "highest")
 
 
 # ---------------------------------------------------------------- streams

@@ -22,8 +22,8 @@ _SMALL = 20_000
 def exact_quantiles(
     df: DataFrame, value: str, probs: dict[str, float], keys: list[str] = (), few_keys: bool = False
 ) -> DataFrame:
-    """One row per key (one row in all without keys): ``n`` non-NULL values, then one double per
-    entry of ``probs`` (name -> probability), interpolated linearly between neighbours. A key whose
+    """One row per key (one row in all without keys): ``n`` non-NULL values, ``lowest``,
+    ``highest``, then one double per entry of ``probs`` (name -> probability), interpolated linearly between neighbours. A key whose
     values are all NULL has no row; without keys it gives ``n = 0`` and NULLs. ``few_keys`` promises
     that the number of keys is fixed (such as columns of a table), so the brackets are broadcast;
     otherwise the join follows their measured size."""
@@ -41,7 +41,7 @@ def exact_quantiles(
     )
     small = F.col("_n") <= _SMALL
     brackets = brackets.select(
-        *keys, "_n",
+        *keys, "_n", "_min", "_max",
         F.when(small, F.array_repeat("_min", len(wanted))).otherwise(F.col("_low")).alias("_low"),
         F.when(small, F.array_repeat("_max", len(wanted))).otherwise(F.col("_high")).alias("_high"),
     )
@@ -52,7 +52,7 @@ def exact_quantiles(
     below = reduce(lambda a, b: a + b, [(F.col("_high")[i] < F.col("_v")).cast("int") for i in indexes])
     kept = reduce(lambda a, b: a | b, [F.col("_v").between(F.col("_low")[i], F.col("_high")[i]) for i in indexes])
     counted = placed.groupBy(
-        *keys, "_n", below.alias("_below"), F.when(kept, F.col("_v")).alias("_value")
+        *keys, "_n", "_min", "_max", below.alias("_below"), F.when(kept, F.col("_v")).alias("_value")
     ).agg(F.count(F.lit(1)).alias("_count"))
 
     order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_below", F.col("_value").asc_nulls_first())
@@ -77,8 +77,13 @@ def exact_quantiles(
         )
     names = [name for name in probs]
     grouped = ranked.groupBy(*keys) if keys else ranked.groupBy()
-    found = grouped.agg(F.coalesce(F.max("_n"), F.lit(0)).alias("n"), *picks)
-    return found.select(*keys, "n", *result).select(*keys, "n", *names)
+    found = grouped.agg(
+        F.coalesce(F.max("_n"), F.lit(0)).alias("n"),
+        F.max("_min").cast("double").alias("lowest"),
+        F.max("_max").cast("double").alias("highest"),
+        *picks,
+    )
+    return found.select(*keys, "n", "lowest", "highest", *result).select(*keys, "n", "lowest", "highest", *names)
 
 
 def _with(values: DataFrame, brackets: DataFrame, keys: list[str], few_keys: bool) -> DataFrame:

@@ -29,7 +29,7 @@ def overview_totals(events: DataFrame, sessions: DataFrame) -> DataFrame:
         F.coalesce(F.sum("amount"), F.lit(0.0)).alias("total_revenue"),
         F.avg("response_time_ms").alias("avg_response_time_ms"),
     )
-    p95 = exact_quantiles(events, "response_time_ms", {"p95_response_time_ms": 0.95}).drop("n")
+    p95 = exact_quantiles(events, "response_time_ms", {"p95_response_time_ms": 0.95}).select("p95_response_time_ms")
     bounces = sessions.agg(
         (F.coalesce(F.avg(F.col("is_bounced").cast("int")), F.lit(0.0)) * 100).alias("bounce_rate_pct"))
     events_n, sessions_n = F.col("total_events"), F.greatest(F.col("total_sessions"), F.lit(1))
@@ -140,14 +140,11 @@ def latest_window(kpis: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- histograms
 
 
-def histogram(df: DataFrame, column: str, bins: int, bin_limit: DataFrame | None = None) -> DataFrame:
-    """Equal-width bins from minimum to maximum, empty ones included; the maximum falls into the
-    last bin, and a single value into the first. ``bin_limit`` is a one-row frame whose ``bins``
-    replaces the fixed number."""
-    values = df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    edges = values.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).filter("_lo is not null")
-    edges = edges.withColumn("_bins", F.lit(bins)) if bin_limit is None else edges.crossJoin(
-        F.broadcast(bin_limit.select(F.col("bins").cast("int").alias("_bins"))))
+def _binned(values: DataFrame, edges: DataFrame) -> DataFrame:
+    """Counts of ``_v`` in equal-width bins, empty ones included. ``edges`` is one row with ``_lo``,
+    ``_hi`` and ``_bins`` (no row or NULLs: no bins). The maximum falls into the last bin, and a
+    single value into the first."""
+    edges = edges.filter("_lo is not null")
     flat = F.col("_hi") == F.col("_lo")
     place = F.when(flat, F.lit(1)).otherwise(
         F.least(F.width_bucket("_v", "_lo", "_hi", "_bins"), F.col("_bins").cast("bigint")))
@@ -163,18 +160,34 @@ def histogram(df: DataFrame, column: str, bins: int, bin_limit: DataFrame | None
     )
 
 
+def _numbers(df: DataFrame, column: str) -> DataFrame:
+    return df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+
+
+def histogram(df: DataFrame, column: str, bins: int, bin_limit: DataFrame | None = None) -> DataFrame:
+    """Equal-width bins from minimum to maximum. ``bin_limit`` is a one-row frame whose ``bins``
+    replaces the fixed number."""
+    values = _numbers(df, column)
+    edges = values.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    edges = edges.withColumn("_bins", F.lit(bins)) if bin_limit is None else edges.crossJoin(
+        F.broadcast(bin_limit.select(F.col("bins").cast("int").alias("_bins"))))
+    return _binned(values, edges)
+
+
 def response_histogram(events: DataFrame, bins: int = 50) -> DataFrame:
     """Response times in bins, with their median and 95th percentile on each row."""
-    marks = exact_quantiles(events, "response_time_ms", {"median": 0.5, "p95": 0.95}).drop("n")
-    return histogram(events, "response_time_ms", bins).crossJoin(F.broadcast(marks))
+    marks = exact_quantiles(events, "response_time_ms", {"median": 0.5, "p95": 0.95})
+    edges = marks.select(F.col("lowest").alias("_lo"), F.col("highest").alias("_hi"), F.lit(bins).alias("_bins"))
+    return _binned(_numbers(events, "response_time_ms"), edges).crossJoin(F.broadcast(marks.select("median", "p95")))
 
 
 def duration_histogram(sessions: DataFrame, bins: int = 40) -> DataFrame:
     """Session durations in bins, cut at the 99th percentile, with the median on each row."""
-    marks = exact_quantiles(sessions, "session_duration_seconds", {"median": 0.5, "cap": 0.99}).drop("n")
-    capped = sessions.crossJoin(F.broadcast(marks)).select(
-        F.least("session_duration_seconds", "cap").alias("session_duration_seconds"))
-    return histogram(capped, "session_duration_seconds", bins).crossJoin(F.broadcast(marks))
+    marks = exact_quantiles(sessions, "session_duration_seconds", {"median": 0.5, "cap": 0.99})
+    edges = marks.select(F.col("lowest").alias("_lo"), F.col("cap").alias("_hi"), F.lit(bins).alias("_bins"))
+    # Values above the cap belong to its bin, the last one, where the binning puts them anyway.
+    return _binned(_numbers(sessions, "session_duration_seconds"), edges).crossJoin(
+        F.broadcast(marks.select("median", "cap")))
 
 
 def numeric_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
@@ -313,5 +326,5 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
         F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"),
         F.min("_v").alias("min"), F.max("_v").alias("max"),
     )
-    medians = exact_quantiles(numbers, "_v", {"median": 0.5}, ["column"], few_keys=True).drop("n")
+    medians = exact_quantiles(numbers, "_v", {"median": 0.5}, ["column"], few_keys=True).select("column", "median")
     return counts.join(F.broadcast(stats), "column", "left").join(F.broadcast(medians), "column", "left")
