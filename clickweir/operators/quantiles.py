@@ -1,8 +1,10 @@
 """Exact interpolated quantiles without gathering the values in one place.
 
-A sketch brackets each wanted rank; a second scan counts what lies below the bracket and keeps, as
-``(value, count)``, only the distinct values inside it, a few ten-thousandths of the rows. The rank
-is then looked up in those. The result is exact: the sketch only decides where to look.
+A sketch brackets each wanted rank. A second scan counts what lies below the bracket and keeps, as
+``(value, count)``, only the distinct values inside it, a few ten-thousandths of the rows. A bracket
+is then cut into cells; the cell that holds a rank is found from the cell counts, and only the
+values of such cells are put in order. The result is exact: the sketch only decides where to look,
+and a rank outside its bracket is an error, never a wrong number.
 """
 
 from __future__ import annotations
@@ -18,64 +20,49 @@ _MARGIN = 5 / _ACCURACY
 # Up to this many values the margin spans too few ranks to be safe, and all of them are kept.
 _SMALL = 20_000
 
+_CELLS = 4096
+
 
 def exact_quantiles(
     df: DataFrame, value: str, probs: dict[str, float], keys: list[str] = (), few_keys: bool = False
 ) -> DataFrame:
     """One row per key (one row in all without keys): ``n`` non-NULL values, ``lowest``,
-    ``highest``, then one double per entry of ``probs`` (name -> probability), interpolated linearly between neighbours. A key whose
-    values are all NULL has no row; without keys it gives ``n = 0`` and NULLs. ``few_keys`` promises
-    that the number of keys is fixed (such as columns of a table), so the brackets are broadcast;
-    otherwise the join follows their measured size."""
+    ``highest``, then one double per entry of ``probs`` (name -> probability), interpolated linearly
+    between neighbours. A key whose values are all NULL has no row; without keys it gives ``n = 0``
+    and NULLs. ``few_keys`` promises that the number of keys is fixed (such as columns of a table),
+    so one-row-per-key frames are broadcast; otherwise joins follow their measured size."""
     keys = list(keys)
+    small_side = F.broadcast if few_keys or not keys else (lambda side: side)
     values = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     wanted = sorted(probs.items(), key=lambda item: item[1])
-    low = [max(p - _MARGIN, 0.0) for _, p in wanted]
-    high = [min(p + _MARGIN, 1.0) for _, p in wanted]
-    brackets = values.groupBy(*keys).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", low, _ACCURACY).alias("_low"),
-        F.percentile_approx("_v", high, _ACCURACY).alias("_high"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
+    brackets = _brackets(values, keys, [p for _, p in wanted])
+    placed = values.join(small_side(brackets), keys) if keys else values.crossJoin(F.broadcast(brackets))
+
+    counted = _counted(placed, keys, len(wanted))
+    cells = counted.groupBy(*keys, "_n", "_below", "_cell").agg(F.sum("_count").alias("_count"))
+    in_order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_below", "_cell")
+    ranks = [rank for _, p in wanted for rank in _ranks(p, F.col("_n"))]
+    holds = reduce(lambda a, b: a | b, [(F.col("_first") <= r) & (r < F.col("_first") + F.col("_count")) for r in ranks])
+    chosen = (
+        cells.withColumn("_first", F.sum("_count").over(in_order) - F.col("_count"))
+        .filter(holds)
+        .select(*keys, "_below", "_cell", "_first")
     )
-    small = F.col("_n") <= _SMALL
-    brackets = brackets.select(
-        *keys, "_n", "_min", "_max",
-        F.when(small, F.array_repeat("_min", len(wanted))).otherwise(F.col("_low")).alias("_low"),
-        F.when(small, F.array_repeat("_max", len(wanted))).otherwise(F.col("_high")).alias("_high"),
+    inside = Window.partitionBy(*keys, "_below", "_cell").orderBy("_value")
+    ranked = (
+        counted.join(small_side(chosen), [*keys, "_below", "_cell"])
+        .withColumn("_end", F.col("_first") + F.sum("_count").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_start", F.col("_end") - F.col("_count"))
     )
 
-    # How many brackets lie wholly below a value orders the counted leftovers among the kept values.
-    placed = _with(values, brackets, keys, few_keys)
-    indexes = range(len(wanted))
-    below = reduce(lambda a, b: a + b, [(F.col("_high")[i] < F.col("_v")).cast("int") for i in indexes])
-    kept = reduce(lambda a, b: a | b, [F.col("_v").between(F.col("_low")[i], F.col("_high")[i]) for i in indexes])
-    counted = placed.groupBy(
-        *keys, "_n", "_min", "_max", below.alias("_below"), F.when(kept, F.col("_v")).alias("_value")
-    ).agg(F.count(F.lit(1)).alias("_count"))
-
-    order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_below", F.col("_value").asc_nulls_first())
-    ranked = counted.withColumn(
-        "_end", F.sum("_count").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("_start", F.col("_end") - F.col("_count"))
-
     def at(rank):
         found = F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_value")))
         return found.cast("double")
 
-    picks, result = [], []
+    picks = []
     for name, p in wanted:
-        place = F.lit(p) * (F.col("_n") - 1)
-        picks += [at(F.floor(place)).alias(f"_{name}_lo"), at(F.ceil(place)).alias(f"_{name}_hi")]
-        share = F.lit(p) * (F.col("n") - 1) - F.floor(F.lit(p) * (F.col("n") - 1))
-        lower, upper = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        missed = (F.col("n") > 0) & (lower.isNull() | upper.isNull())
-        result.append(
-            F.when(missed, F.raise_error(F.lit(f"quantile {p} lies outside its bracket")).cast("double"))
-            .otherwise(lower + (upper - lower) * share).alias(name)
-        )
-    names = [name for name in probs]
+        lower, upper = _ranks(p, F.col("_n"))
+        picks += [at(lower).alias(f"_{name}_lo"), at(upper).alias(f"_{name}_hi")]
     grouped = ranked.groupBy(*keys) if keys else ranked.groupBy()
     found = grouped.agg(
         F.coalesce(F.max("_n"), F.lit(0)).alias("n"),
@@ -83,11 +70,61 @@ def exact_quantiles(
         F.max("_max").cast("double").alias("highest"),
         *picks,
     )
-    return found.select(*keys, "n", "lowest", "highest", *result).select(*keys, "n", "lowest", "highest", *names)
+    return found.select(*keys, "n", "lowest", "highest", *[_between(name, p) for name, p in probs.items()])
+
+
+def _ranks(p: float, n):
+    """The two neighbouring ranks, from 0, that a quantile lies between."""
+    place = F.lit(p) * (n - 1)
+    return F.floor(place), F.ceil(place)
+
 
+def _between(name: str, p: float):
+    lower, upper = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+    place = F.lit(p) * (F.col("n") - 1)
+    missed = (F.col("n") > 0) & (lower.isNull() | upper.isNull())
+    error = F.raise_error(F.lit(f"quantile {p} lies outside its bracket")).cast("double")
+    return F.when(missed, error).otherwise(lower + (upper - lower) * (place - F.floor(place))).alias(name)
 
-def _with(values: DataFrame, brackets: DataFrame, keys: list[str], few_keys: bool) -> DataFrame:
-    """Attach its bracket to each value; without keys the brackets are one row."""
-    if not keys:
-        return values.crossJoin(F.broadcast(brackets))
-    return values.join(F.broadcast(brackets) if few_keys else brackets, keys)
+
+def _brackets(values: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Per key the number of values, their extremes, and bounds around each rank."""
+    low = [max(p - _MARGIN, 0.0) for p in probs]
+    high = [min(p + _MARGIN, 1.0) for p in probs]
+    small = F.col("_n") <= _SMALL
+    return values.groupBy(*keys).agg(
+        F.count("_v").alias("_n"),
+        F.percentile_approx("_v", low, _ACCURACY).alias("_low"),
+        F.percentile_approx("_v", high, _ACCURACY).alias("_high"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+    ).withColumns(
+        {
+            "_low": F.when(small, F.array_repeat("_min", len(probs))).otherwise(F.col("_low")),
+            "_high": F.when(small, F.array_repeat("_max", len(probs))).otherwise(F.col("_high")),
+        }
+    )
+
+
+def _counted(placed: DataFrame, keys: list[str], brackets: int) -> DataFrame:
+    """Distinct values inside a bracket with their counts; the rest as one row per gap.
+
+    ``_below`` says how many brackets lie wholly below a value. A kept value lies in the first one
+    that does not, whose cells order it further; a value outside all of them comes before (-1).
+    """
+    each = range(brackets)
+    value = F.col("_v")
+    # Never NULL, and stated so: else one of the two readers of this result would get a filter of
+    # its own and the scan behind it could not be shared.
+    past = [F.coalesce((F.col("_high")[i] < value).cast("int"), F.lit(0)) for i in each]
+    below = reduce(lambda a, b: a + b, past)
+    kept = reduce(lambda a, b: a | b, [value.between(F.col("_low")[i], F.col("_high")[i]) for i in each])
+    low, high = F.get("_low", "_below").cast("double"), F.get("_high", "_below").cast("double")
+    place = F.floor((F.col("_value").cast("double") - low) / (high - low) * _CELLS)
+    cell = F.when(F.col("_value").isNull(), -1).when(high > low, place)
+    return (
+        placed.withColumns({"_below": below, "_value": F.when(kept, value)})
+        .withColumn("_cell", F.coalesce(cell, F.lit(0)).cast("int"))
+        .groupBy(*keys, "_n", "_min", "_max", "_below", "_cell", "_value")
+        .agg(F.count(F.lit(1)).alias("_count"))
+    )

@@ -142,21 +142,26 @@ def latest_window(kpis: DataFrame) -> DataFrame:
 
 def _binned(values: DataFrame, edges: DataFrame) -> DataFrame:
     """Counts of ``_v`` in equal-width bins, empty ones included. ``edges`` is one row with ``_lo``,
-    ``_hi`` and ``_bins`` (no row or NULLs: no bins). The maximum falls into the last bin, and a
-    single value into the first."""
-    edges = edges.filter("_lo is not null")
-    flat = F.col("_hi") == F.col("_lo")
-    place = F.when(flat, F.lit(1)).otherwise(
+    ``_hi``, ``_bins`` and whatever each bin's row shall carry besides. The maximum, and anything
+    above it, falls into the last bin; a single value falls into the first."""
+    carried = [name for name in edges.columns if not name.startswith("_")]
+    place = F.when(F.col("_hi") == F.col("_lo"), F.lit(1)).otherwise(
         F.least(F.width_bucket("_v", "_lo", "_hi", "_bins"), F.col("_bins").cast("bigint")))
-    counts = values.crossJoin(F.broadcast(edges)).groupBy(place.cast("int").alias("bin")).agg(
-        F.count(F.lit(1)).alias("_n"))
     width = (F.col("_hi") - F.col("_lo")) / F.col("_bins")
-    spine = edges.select("*", F.explode(F.sequence(F.lit(1), F.col("_bins"))).alias("bin"))
-    return spine.join(F.broadcast(counts), "bin", "left").select(
+    # One row with a map of the non-empty bins, at most as many as there are bins.
+    counts = (
+        values.crossJoin(F.broadcast(edges))
+        .groupBy(*edges.columns, place.cast("int").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(*edges.columns)
+        .agg(F.map_from_entries(F.collect_list(F.struct("bin", "_n"))).alias("_counts"))
+    )
+    return counts.select("*", F.explode(F.sequence(F.lit(1), F.col("_bins"))).alias("bin")).select(
         "bin",
         (F.col("_lo") + width * (F.col("bin") - 1)).alias("bin_start"),
         (F.col("_lo") + width * F.col("bin")).alias("bin_end"),
-        F.coalesce("_n", F.lit(0)).alias("count"),
+        F.coalesce(F.try_element_at("_counts", "bin"), F.lit(0)).alias("count"),
+        *carried,
     )
 
 
@@ -177,17 +182,18 @@ def histogram(df: DataFrame, column: str, bins: int, bin_limit: DataFrame | None
 def response_histogram(events: DataFrame, bins: int = 50) -> DataFrame:
     """Response times in bins, with their median and 95th percentile on each row."""
     marks = exact_quantiles(events, "response_time_ms", {"median": 0.5, "p95": 0.95})
-    edges = marks.select(F.col("lowest").alias("_lo"), F.col("highest").alias("_hi"), F.lit(bins).alias("_bins"))
-    return _binned(_numbers(events, "response_time_ms"), edges).crossJoin(F.broadcast(marks.select("median", "p95")))
+    edges = marks.select(
+        F.col("lowest").alias("_lo"), F.col("highest").alias("_hi"), F.lit(bins).alias("_bins"), "median", "p95")
+    return _binned(_numbers(events, "response_time_ms"), edges)
 
 
 def duration_histogram(sessions: DataFrame, bins: int = 40) -> DataFrame:
     """Session durations in bins, cut at the 99th percentile, with the median on each row."""
     marks = exact_quantiles(sessions, "session_duration_seconds", {"median": 0.5, "cap": 0.99})
-    edges = marks.select(F.col("lowest").alias("_lo"), F.col("cap").alias("_hi"), F.lit(bins).alias("_bins"))
+    edges = marks.select(
+        F.col("lowest").alias("_lo"), F.col("cap").alias("_hi"), F.lit(bins).alias("_bins"), "median", "cap")
     # Values above the cap belong to its bin, the last one, where the binning puts them anyway.
-    return _binned(_numbers(sessions, "session_duration_seconds"), edges).crossJoin(
-        F.broadcast(marks.select("median", "cap")))
+    return _binned(_numbers(sessions, "session_duration_seconds"), edges)
 
 
 def numeric_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
