@@ -11,7 +11,7 @@ from clickweir.operators.ingest import clean_events, dead_letters, parse_events
 from clickweir.plans.config import Layout
 from clickweir.schemas import CLEAN_EVENT, DEAD_LETTER
 from clickweir.sources import raw, tables
-from clickweir.sources.session import use_utc
+from clickweir.sources.session import sized_shuffles, use_utc
 
 BRONZE_PARTITIONS = ["event_date", "event_type"]
 
@@ -40,7 +40,8 @@ def run_batch(
     create_tables(spark, layout)
     lines = raw.read_array_files(spark, input_path) if json_array else raw.read_lines(spark, input_path)
     batch_id = batch_id or hashlib.sha256(input_path.encode()).hexdigest()[:16]
-    _write(parse_events(lines), layout, batch_id, as_of, tables.replace_batch)
+    with sized_shuffles(spark, tables.stored_bytes(spark, input_path)):
+        _write(parse_events(lines), layout, batch_id, as_of, tables.replace_batch)
     # Counted in the tables, where retried tasks cannot inflate them.
     clean = tables.read_batch(spark, layout.bronze, CLEAN_EVENT, BRONZE_PARTITIONS, batch_id, layout.fmt)
     dead = tables.read_batch(spark, layout.dead_letter, DEAD_LETTER, [], batch_id, layout.fmt)

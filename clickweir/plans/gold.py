@@ -16,7 +16,7 @@ from clickweir.plans.config import Layout
 from clickweir.plans.silver import read_silver
 from clickweir.schemas import ANOMALY_SUMMARY, FUNNEL, KPI, SESSION
 from clickweir.sources import tables
-from clickweir.sources.session import use_utc
+from clickweir.sources.session import sized_shuffles, use_utc
 
 MODES = ["kpis", "sessions", "funnels", "anomaly_aggs"]
 
@@ -57,7 +57,9 @@ def _refresh(
     read = silver.count() if dates else 0
     if not read:
         return {"silver_read": 0, **dict.fromkeys(names, 0)}
-    tables.replace_dates(compute(silver), path, *dates, window=window, fmt=layout.fmt)
+    stored = tables.stored_bytes(spark, *tables.date_folders(spark, layout.silver, *dates))
+    with sized_shuffles(spark, stored):
+        tables.replace_dates(compute(silver), path, *dates, window=window, fmt=layout.fmt)
     written = tables.read_dates(spark, path, schema, *dates, window=window, fmt=layout.fmt).count()
     return {"silver_read": read, **dict.fromkeys(names, written)}
 

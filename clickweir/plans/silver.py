@@ -14,7 +14,7 @@ from clickweir.plans.config import Layout
 from clickweir.schemas import CLEAN_EVENT, QUARANTINE, SCORED_EVENT, SILVER_EVENT, conform
 from clickweir.settings import SLICE_SECONDS
 from clickweir.sources import tables
-from clickweir.sources.session import use_utc
+from clickweir.sources.session import sized_shuffles, use_utc
 
 STATS = ["bronze_read", "after_dedup", "passed_quality", "quarantined", "anomalies", "alerts_sent", "silver_written"]
 
@@ -77,6 +77,12 @@ def run(
         # One moment for the whole run; tasks that run again must see the same clock.
         as_of = spark.range(1).select(instant(None).alias("now")).first()["now"]
 
+    stored = tables.stored_bytes(spark, *tables.date_folders(spark, layout.bronze, *dates))
+    with sized_shuffles(spark, stored):
+        return {"bronze_read": bronze_read, **_rebuild(spark, layout, bronze, bronze_read, dates, skip_anomalies, as_of)}
+
+
+def _rebuild(spark, layout, bronze, bronze_read, dates, skip_anomalies, as_of) -> dict[str, int]:
     width = slice_width(bronze_read, len(days_in(*dates)) * DAY_SECONDS)
     scored, scratch = tables.staged(scored_events(bronze, as_of, width), "scored")
     try:
@@ -88,7 +94,6 @@ def run(
         after_dedup, written = scored.count(), silver.count()
         alerts = 0 if skip_anomalies else send_alerts(silver, layout, *dates, as_of=as_of)
         return {
-            "bronze_read": bronze_read,
             "after_dedup": after_dedup,
             "passed_quality": written,
             "quarantined": after_dedup - written,

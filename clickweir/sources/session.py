@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# One shuffle partition for this much stored input, and rows take about so many times their stored
+# size in a shuffle. More partitions than the limit cost the driver more than they save.
+_BYTES_PER_PARTITION = 128 * 1024 * 1024
+_SHUFFLE_GROWTH = 4
+_MOST_PARTITIONS = 50_000
+
 _OWN_SCRATCH: dict[str, str] = {}
 
 
@@ -37,3 +46,21 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def partitions_for(stored: int, at_least: int) -> int:
+    """Shuffle partitions for an input of so many bytes; AQE merges those that turn out small."""
+    wanted = math.ceil(stored * _SHUFFLE_GROWTH / _BYTES_PER_PARTITION)
+    return max(at_least, min(wanted, _MOST_PARTITIONS))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, stored: int) -> Iterator[None]:
+    """Raise ``spark.sql.shuffle.partitions`` to fit the input while a job runs; never lower it."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(partitions_for(stored, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -19,6 +19,21 @@ def _fs(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of the files below some paths, which may be patterns."""
+    total = 0
+    for path in paths:
+        fs, pattern = _fs(spark, path)
+        total += sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(pattern) or [])
+    return total
+
+
+def date_folders(spark: SparkSession, path: str, start: str, end: str) -> list[str]:
+    """The partitions of some dates that exist."""
+    first, last = f"event_date={start}", f"event_date={end}"
+    return [f"{path}/{name}" for name in _children(spark, path) if first <= name <= last]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, where = _fs(spark, path)
     return fs.exists(where)
@@ -75,8 +90,7 @@ def read_dates(
         rows = between_dates(read_table(spark, path, schema, fmt), start, end)
         return rows.filter(F.col("window_duration") == window) if window else rows
     folder = f"{path}/window_duration={window}" if window else path
-    first, last = f"event_date={start}", f"event_date={end}"
-    return _read_folders(spark, path, schema, [f"{folder}/{d}" for d in _children(spark, folder) if first <= d <= last])
+    return _read_folders(spark, path, schema, date_folders(spark, folder, start, end))
 
 
 def _read_folders(spark: SparkSession, path: str, schema: StructType, folders: list[str]) -> DataFrame:
@@ -165,10 +179,11 @@ def replace_dates(
     df: DataFrame, path: str, start: str, end: str, window: str | None = None, fmt: str = "parquet"
 ) -> None:
     """Make the table hold exactly ``df`` for these dates (and this window duration). A date that
-    now has no rows loses the partition an earlier run left: a dynamic overwrite alone keeps it."""
+    now has no rows loses the partition an earlier run left: a dynamic overwrite alone keeps it.
+    A single date is written as its tasks hold it; a range is grouped by date first."""
     spark = df.sparkSession
     keys = ["window_duration", "event_date"] if window else ["event_date"]
-    writer = balanced(df, keys).write.format(fmt).mode("overwrite").partitionBy(*keys)
+    writer = (df if start == end else balanced(df, keys)).write.format(fmt).mode("overwrite").partitionBy(*keys)
     if fmt == "delta":
         scope = f"event_date >= '{start}' AND event_date <= '{end}'"
         scope += f" AND window_duration = '{window}'" if window else ""

@@ -197,6 +197,18 @@ def test_shared_folder():
     assert session.scratch_path(own, "x") != session.scratch_path(own, "x")
 
 
+def test_shuffles_fit_the_input(spark):
+    assert session.partitions_for(10_000, 8) == 8
+    assert session.partitions_for(10 * 2**40, 200) == 50_000
+    assert session.partitions_for(2**40, 200) == 32_768
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with pytest.raises(RuntimeError), session.sized_shuffles(spark, 2**40):
+        assert spark.conf.get(name) == "32768"
+        raise RuntimeError
+    assert spark.conf.get(name) == before
+
+
 def test_a_third_of_the_rows_without_session(spark, tmp_path):
     """One hot group through the whole silver step equals the plain computation."""
     base = clicks.visited(spark, TESTDATA)
