@@ -158,7 +158,7 @@ def _kpis(rows, per_day=False):
         CASE WHEN total_events > 0 THEN round(purchases / total_events, 4) ELSE 0.0 END AS purchase_rate,
         CASE WHEN page_views > 0 THEN round(purchases / page_views, 4) ELSE 0.0 END AS conversion_rate,
         round(sum(CASE WHEN event_type = 'purchase' THEN amount ELSE 0.0 END), 6) AS revenue_total,
-        round(avg(amount) FILTER (event_type = 'purchase'), 6) AS revenue_avg,
+        CAST(round(CAST(avg(amount) FILTER (event_type = 'purchase') AS DECIMAL(38, 9)), 6) AS DOUBLE) AS revenue_avg,
         CASE WHEN unique_sessions > 0 THEN round(count(*) FILTER (in_session <= 1) / unique_sessions, 4) ELSE 0.0 END AS bounce_rate,
         {_NOW} AS processed_at FROM w GROUP BY win"""
 

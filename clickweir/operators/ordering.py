@@ -28,7 +28,8 @@ def _sliced(df: DataFrame, group: list[str], ts: str, slice_seconds: int) -> tup
         f"_key{i}": F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("~"))
         for i, name in enumerate(group)
     }
-    part = F.floor(F.unix_seconds(F.col(ts)) / F.lit(slice_seconds))
+    # Rows without a time come first, as in any order by it; no row is lost to the join by slice.
+    part = F.coalesce(F.floor(F.unix_seconds(F.col(ts)) / F.lit(slice_seconds)), F.lit(-(2**62)))
     return df.withColumns({**keys, "_slice": part}), list(keys)
 
 

@@ -31,9 +31,11 @@ def exact_quantiles(
     between neighbours. A key whose values are all NULL has no row; without keys it gives ``n = 0``
     and NULLs. ``few_keys`` promises that the number of keys is fixed (such as columns of a table),
     so one-row-per-key frames are broadcast; otherwise joins follow their measured size."""
-    keys = list(keys)
+    # As a struct, keys that are NULL or have NULL parts join like any other.
+    values = df.select(*([F.struct(*keys).alias("_key")] if keys else []), F.col(value).alias("_v"))
+    values = values.filter(F.col("_v").isNotNull())
+    named, keys = list(keys), ["_key"] if keys else []
     small_side = F.broadcast if few_keys or not keys else (lambda side: side)
-    values = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     wanted = sorted(probs.items(), key=lambda item: item[1])
     brackets = _brackets(values, keys, [p for _, p in wanted])
     placed = values.join(small_side(brackets), keys) if keys else values.crossJoin(F.broadcast(brackets))
@@ -70,7 +72,8 @@ def exact_quantiles(
         F.max("_max").cast("double").alias("highest"),
         *picks,
     )
-    return found.select(*keys, "n", "lowest", "highest", *[_between(name, p) for name, p in probs.items()])
+    shown = [F.col("_key")[name].alias(name) for name in named]
+    return found.select(*shown, "n", "lowest", "highest", *[_between(name, p) for name, p in probs.items()])
 
 
 def _ranks(p: float, n):

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from clickweir.functions.timing import days_in
 from clickweir.sources.session import scratch_path
 
 
@@ -19,6 +18,16 @@ def _fs(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def _files_by_folder(spark: SparkSession, pattern: str) -> dict[str, set[str]]:
+    """Names of the files in each folder a pattern matches, from one listing."""
+    fs, where = _fs(spark, f"{pattern}/*")
+    found: dict[str, set[str]] = {}
+    for status in fs.globStatus(where) or []:
+        folder, name = str(status.getPath().toString()).rsplit("/", 1)
+        found.setdefault(folder, set()).add(name)
+    return found
+
+
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
     """Size of the files below some paths, which may be patterns."""
     total = 0
@@ -138,11 +147,16 @@ def append_batch(df: DataFrame, path: str, partition_by: list[str], batch_id: st
     writer.save(path)
 
 
-def batch_folders(spark: SparkSession, path: str, partition_by: list[str], batch_id: str) -> list[str]:
-    """The folders a batch has written to."""
-    levels = "".join(f"/{name}=*" for name in partition_by)
-    fs, pattern = _fs(spark, f"{path}{levels}/ingest_id={batch_id}")
-    return sorted(str(s.getPath()) for s in fs.globStatus(pattern) or [])
+def _batch_pattern(path: str, partition_by: list[str], batch_id: str) -> str:
+    return f"{path}{''.join(f'/{name}=*' for name in partition_by)}/ingest_id={batch_id}"
+
+
+def _remove_unchanged(spark: SparkSession, pattern: str, before: dict[str, set[str]]) -> None:
+    """Remove the folders that a write has not touched; what it writes has new file names."""
+    after = _files_by_folder(spark, pattern)
+    for folder, files in before.items():
+        if after.get(folder) == files:
+            remove(spark, folder)
 
 
 def replace_batch(
@@ -150,12 +164,11 @@ def replace_batch(
 ) -> None:
     """As ``append_batch``, for input that may have changed since: partitions that only the earlier
     run of the batch wrote to are removed."""
-    spark = df.sparkSession
-    before = {f: set(_children(spark, f)) for f in batch_folders(spark, path, partition_by, batch_id)}
+    spark, pattern = df.sparkSession, _batch_pattern(path, partition_by, batch_id)
+    before = {} if fmt == "delta" else _files_by_folder(spark, pattern)
     append_batch(df, path, partition_by, batch_id, fmt)
-    for folder, files in before.items():
-        if fmt != "delta" and set(_children(spark, folder)) == files:
-            remove(spark, folder)
+    if before:
+        _remove_unchanged(spark, pattern, before)
 
 
 def read_batch(
@@ -164,15 +177,8 @@ def read_batch(
     """The rows of one batch."""
     if fmt != "parquet":
         return spark.read.format(fmt).load(path).filter(F.col("ingest_id") == batch_id).select(schema.fieldNames())
-    return _read_folders(spark, path, schema, batch_folders(spark, path, partition_by, batch_id))
-
-
-def _files_by_date(spark: SparkSession, path: str, prefix: str, dates: list[str]) -> dict[str, set[str]]:
-    present = set(_children(spark, f"{path}/{prefix}"))
-    return {
-        date: set(_children(spark, f"{path}/{prefix}event_date={date}"))
-        for date in dates if f"event_date={date}" in present
-    }
+    folders = sorted(_files_by_folder(spark, _batch_pattern(path, partition_by, batch_id)))
+    return _read_folders(spark, path, schema, folders)
 
 
 def replace_dates(
@@ -189,13 +195,13 @@ def replace_dates(
         scope += f" AND window_duration = '{window}'" if window else ""
         writer.option("replaceWhere", scope).save(path)
         return
-    dates, prefix = days_in(start, end), f"window_duration={window}/" if window else ""
-    before = _files_by_date(spark, path, prefix, dates)
+    folder = f"{path}/window_duration={window}" if window else path
+    stored = [name.rsplit("/", 1)[1] for name in date_folders(spark, folder, start, end)]
+    pattern = f"{folder}/{{{','.join(stored)}}}"
+    before = _files_by_folder(spark, pattern) if stored else {}
     writer.option("partitionOverwriteMode", "dynamic").save(path)
-    after = _files_by_date(spark, path, prefix, dates)
-    for date, files in before.items():
-        if after.get(date) == files:
-            remove(spark, f"{path}/{prefix}event_date={date}")
+    if before:
+        _remove_unchanged(spark, pattern, before)
 
 
 def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:

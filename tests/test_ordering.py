@@ -54,6 +54,13 @@ def test_visits_equal_brute_force(spark, width):
     assert got == want
 
 
+def test_rows_without_time_are_kept(spark):
+    rows = [("1", "u", None), ("2", "u", at("2024-01-01")), ("3", None, None)]
+    df = spark.createDataFrame(rows, "event_id string, user_id string, timestamp timestamp")
+    assert {r.event_id: r.n for r in number_in_group(df, ["user_id"], "n").collect()} == {"1": 1, "2": 2, "3": 1}
+    assert visits(df).count() == 3
+
+
 def test_gap_is_strict(spark):
     rows = [("1", "u", at("2024-01-01 00:00:00")), ("2", "u", at("2024-01-01 00:29:59")),
             ("3", "u", at("2024-01-01 00:59:59"))]

@@ -55,6 +55,14 @@ def test_per_key(spark):
         assert got[row.k].p95 == pytest.approx(row.p95) and got[row.k].p50 == pytest.approx(row.p50)
 
 
+def test_null_keys_are_keys(spark):
+    df = spark.createDataFrame([("a", 1.0), (None, 2.0), (None, 4.0)], "k string, v double")
+    got = {r.k: r.m for r in exact_quantiles(df, "v", {"m": 0.5}, ["k"]).collect()}
+    assert got == {"a": 1.0, None: 3.0}
+    broadcast = exact_quantiles(df, "v", {"m": 0.5}, ["k"], few_keys=True).collect()
+    assert {r.k: r.m for r in broadcast} == got
+
+
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(float(v),) for v in (0, 1, 2, 9, 10)], "v double")
     assert [r["count"] for r in histogram(df, "v", 5).orderBy("bin").collect()] == [2, 1, 0, 0, 2]
