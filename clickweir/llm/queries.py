@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import common, toxicity
+from clickweir.llm import common, simhash, toxicity
 from clickweir.llm.common import table
 from clickweir.sources.session import use_utc
 
@@ -24,8 +24,13 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    prepared(spark)
+    return simhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def registered() -> dict:
-    return {"op1_toxicity": op1_toxicity}
+    return {"op1_toxicity": op1_toxicity, "op6_simhash": op6_simhash}
 
 
 def statements() -> dict[str, str]:
