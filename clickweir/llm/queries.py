@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import common, simhash, toxicity
+from clickweir.llm import common, packing, simhash, toxicity
 from clickweir.llm.common import table
 from clickweir.sources.session import use_utc
 
@@ -29,8 +29,25 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def ranks_path() -> str:
+    """The byte-level vocabulary as ranks: the same ids as its tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    prepared(spark)
+    packed = packing.packed_documents(table(spark, folder, "documents"), ranks_path())
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def registered() -> dict:
-    return {"op1_toxicity": op1_toxicity, "op6_simhash": op6_simhash}
+    return {
+        "op1_toxicity": op1_toxicity,
+        "op3_best_fit_packing": op3_best_fit_packing,
+        "op6_simhash": op6_simhash,
+    }
 
 
 def statements() -> dict[str, str]:
