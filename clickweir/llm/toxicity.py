@@ -34,8 +34,8 @@ class Settings:
     """``per_class`` bounds the labelled documents that are collected for training, and
     ``sample_words`` the words taken from each (evenly spread windows). Scoring has no such bounds."""
 
-    per_class: int = 3000
-    sample_words: int = 4096
+    per_class: int = 2400
+    sample_words: int = 1600
     window: int = 4
     buckets: int = 1 << 17
     width: int = 12
@@ -92,39 +92,45 @@ def subwords(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Bags:
-    """Windows of word numbers, and the n-gram ids of each distinct word."""
+    """Windows as stretches of one array of word numbers, and the n-gram ids of each distinct word."""
 
     def __init__(self, texts: list[str], settings: Settings):
         number: dict[str, int] = {}
-        windows, owners = [], []
+        words, sizes, owners = [], [], []
         for doc, text in enumerate(texts):
             found = words_of(text)
-            coded = np.fromiter((number.setdefault(w, len(number)) for w in found), np.int64, len(found))
-            parts = [coded[i: i + settings.window] for i in range(0, len(coded), settings.window)]
-            step = max(1, -(-len(parts) * settings.window // settings.sample_words))
-            windows += parts[::step]
-            owners += [doc] * len(parts[::step])
-        self.windows, self.owner = windows, np.array(owners, dtype=np.int64)
-        self.ids, self.starts = subwords(list(number), settings.buckets) if number else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+            starts = range(0, len(found), settings.window)
+            step = max(1, -(-len(found) // settings.sample_words))
+            for at in starts[::step]:
+                part = found[at: at + settings.window]
+                words.append(np.fromiter((number.setdefault(w, len(number)) for w in part), np.int32, len(part)))
+                sizes.append(len(part))
+                owners.append(doc)
+        self.words = np.concatenate(words) if words else np.zeros(0, np.int32)
+        self.sizes, self.owner = np.array(sizes, dtype=np.int64), np.array(owners, dtype=np.int64)
+        self.cuts = np.cumsum(self.sizes) - self.sizes
+        ids, self.starts = subwords(list(number), settings.buckets) if number else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+        self.ids = ids.astype(np.int32)
 
     def expand(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """N-gram ids of the chosen windows in a row, and how many each window has."""
-        words = np.concatenate([self.windows[i] for i in chosen])
-        sizes = np.fromiter((len(self.windows[i]) for i in chosen), np.int64, len(chosen))
-        first, count = self.starts[words], self.starts[words + 1] - self.starts[words]
-        ends = np.cumsum(count)
-        places = np.arange(ends[-1]) - np.repeat(ends - count, count) + np.repeat(first, count)
-        return self.ids[places], np.add.reduceat(count, np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+        sizes = self.sizes[chosen]
+        words = self.words[_stretches(self.cuts[chosen], sizes)]
+        count = self.starts[words + 1] - self.starts[words]
+        return self.ids[_stretches(self.starts[words], count)], np.add.reduceat(count, np.cumsum(sizes) - sizes)
+
+
+def _stretches(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers ``first .. first + count - 1`` of all stretches in a row."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1]) - np.repeat(ends - count, count) + np.repeat(first, count)
 
 
 def _log_odds(bags: _Bags, weights: np.ndarray, bias: float) -> np.ndarray:
     """Of every window."""
     total = np.add.reduceat(weights[bags.ids], bags.starts[:-1])
     count = np.diff(bags.starts)
-    sizes = np.fromiter(map(len, bags.windows), np.int64, len(bags.windows))
-    cuts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    words = np.concatenate(bags.windows)
-    return np.add.reduceat(total[words], cuts) / np.add.reduceat(count[words], cuts) + bias
+    return np.add.reduceat(total[bags.words], bags.cuts) / np.add.reduceat(count[bags.words], bags.cuts) + bias
 
 
 class _Trainer:
@@ -194,7 +200,7 @@ def train(texts: list[str], label: np.ndarray, share: float, settings: Settings
     label = np.asarray(label, dtype=np.int64)
     flat = Model(np.zeros(settings.buckets, np.float32), 0.0, np.array([np.log((share + 1e-3) / (1 - share + 1e-3)), 0, 0, 0]), settings.window)
     bags = _Bags(texts, settings)
-    if not len(bags.windows) or len(set(label.tolist())) < 2:
+    if not len(bags.sizes) or len(set(label.tolist())) < 2:
         return flat
     apart = np.arange(len(texts)) % 5 == 4
     if len(set(label[~apart].tolist())) < 2 or len(set(label[apart].tolist())) < 2:
