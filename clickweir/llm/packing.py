@@ -5,7 +5,8 @@
    groups of equal cardinality, and each length is rounded up to the largest of its group.
 3. A linear programme over configurations of these few sizes (column generation: a simplex basis
    with one row per size, priced by a knapsack over the capacity) says how often to use which.
-4. Actual pieces take the places of the rounded ones, longest first in each group.
+4. Actual pieces take the places of the rounded ones, longest first in each group, where the room
+   they leave is none or at least ``1 / GAP`` of a sequence.
 5. Pieces that were left over by rounding down, and then the small ones, go by best fit, longest
    first, into the sequences with the least room that is enough.
 
@@ -33,8 +34,9 @@ from pyspark.sql.window import Window
 
 from clickweir.llm import common
 
-SMALL = 16
-GROUPS = 48
+SMALL = 8
+GROUPS = 24
+GAP = 8
 
 # Fixed values of the vocabulary: how text is parted before merging, and its one special token.
 _PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -226,29 +228,39 @@ def plan(histogram: list[tuple[int, int]], capacity: int = 2048) -> tuple[list[t
         queues = [list(reversed(merged[s])) for s in sizes]
         demand = np.array([sum(n for _, _, n in q) for q in queues], dtype=float)
         for column, level in configurations(sizes, demand, capacity):
-            _substitute(bins, column, int(level + 1e-9), queues)
+            rest += _substitute(bins, column, int(level + 1e-9), queues)
         rest += [run for queue in queues for run in queue]
     for length, lo, n in sorted(rest, reverse=True):
         bins.best_fit(length, lo, n)
     return bins.placed, bins.next
 
 
-def _substitute(bins: Bins, column: np.ndarray, count: int, queues: list[list[tuple[int, int, int]]]) -> None:
-    """Fill ``count`` sequences of one configuration with the longest pieces left of its groups."""
+def _substitute(bins: Bins, column: np.ndarray, count: int, queues: list[list[tuple[int, int, int]]]) -> list[tuple[int, int, int]]:
+    """Fill ``count`` sequences of one configuration with the longest pieces left of its groups. Those
+    that would leave a little room, too small for most of the small pieces, are not used: their
+    pieces are returned and go by best fit with the rest."""
     places = [g for g, n in enumerate(column) for _ in range(n)]
     count = min([count, *(sum(n for _, _, n in queues[g]) // int(column[g]) for g in set(places))]) if places else 0
+    back: list[tuple[int, int, int]] = []
     if not count:
-        return
-    first = bins.fresh(count)
+        return back
     slots = [_drawn(queues[g], count) for g in places]
     cuts = sorted({at for slot in slots for at, *_ in slot} | {count})
     for a, b in zip(cuts, cuts[1:]):
-        offset = 0
+        runs = []
         for slot in slots:
             at, length, lo = next(x for x in reversed(slot) if x[0] <= a)
-            bins.placed.append((length, lo + a - at, b - a, first + a, offset))
-            offset += length
-        bins.add(bins.capacity - offset, first + a, b - a)
+            runs.append((length, lo + a - at, b - a))
+        offset = sum(length for length, _, _ in runs)
+        if 0 < bins.capacity - offset < bins.capacity // GAP:
+            back += runs
+            continue
+        first = bins.fresh(b - a)
+        bins.add(bins.capacity - offset, first, b - a)
+        for length, lo, n in reversed(runs):
+            offset -= length
+            bins.placed.append((length, lo, n, first, offset))
+    return back
 
 
 def _drawn(queue: list[tuple[int, int, int]], count: int) -> list[tuple[int, int, int]]:
