@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import common, packing, simhash, toxicity
+from clickweir.llm import common, decontamination, packing, simhash, toxicity
 from clickweir.llm.common import table
 from clickweir.sources.session import use_utc
 
@@ -42,11 +42,17 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    prepared(spark)
+    return decontamination.contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def registered() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op6_simhash": op6_simhash,
+        "op8_decontamination": op8_decontamination,
     }
 
 
