@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import common, decontamination, packing, simhash, toxicity
+from clickweir.llm import common, decontamination, packing, secrets, simhash, toxicity
 from clickweir.llm.common import table
 from clickweir.sources.session import use_utc
 
@@ -24,6 +24,13 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    prepared(spark)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return secrets.findings(docs, *secrets.trained(docs)).select(
+        "doc_id", "ordinal", "kind", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "score")
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     prepared(spark)
     return simhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
@@ -51,6 +58,7 @@ def registered() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_secret_scans": op4_secret_scans,
         "op6_simhash": op6_simhash,
         "op8_decontamination": op8_decontamination,
     }
