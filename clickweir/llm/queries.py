@@ -43,6 +43,34 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    rows = packing.packed_documents(docs, ranks_path())
+    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(prepared(spark), folder, "documents"))
+
+
+def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    prepared(spark)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return secrets.findings(docs, *secrets.trained(docs)).select(
+        "doc_id", "ordinal", "kind", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "score")
+
+
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    prepared(spark)
+    return simhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def ranks_path() -> str:
+    """The byte-level vocabulary as ranks: the same ids as its tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     prepared(spark)
     packed = packing.packed_documents(table(spark, folder, "documents"), ranks_path())
@@ -54,6 +82,12 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 def registered() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
@@ -61,6 +95,7 @@ def registered() -> dict:
         "op4_secret_scans": op4_secret_scans,
         "op6_simhash": op6_simhash,
         "op8_decontamination": op8_decontamination,
+        "pipeline": pipeline,
     }
 
 

@@ -56,8 +56,8 @@ def fingerprint(text: bytes | None, size: int = 4, seed: int = 42) -> int:
     return int(majority.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
-    """``doc_id, fp`` of each row; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, size: int = 4, keep: list[str] | None = None) -> DataFrame:
+    """``doc_id, fp`` of each row (or other columns to ``keep``); ``fp`` holds the 64 bits as a signed long."""
 
     @F.pandas_udf("long")
     def signed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
             found = np.array([fingerprint(t, size) for t in texts.tolist()], dtype=np.uint64)
             yield pd.Series(found.view(np.int64))
 
-    return docs.select("doc_id", signed(F.col("text").cast("binary")).alias("fp"))
+    return docs.select(*(keep or ["doc_id"]), signed(F.col("text").cast("binary")).alias("fp"))
 
 
 # ---------------------------------------------------------------- links
@@ -243,14 +243,33 @@ def near_duplicates(docs: DataFrame, radius: int = 4, size: int = 4) -> DataFram
     doc_id that can be reached over links, itself included. Rows with a NULL id take part (their id
     is NULL in the result and never the smallest, unless all of their class are NULL). Other columns
     are ignored; an empty table gives an empty result."""
-    printed = common.stored(fingerprints(docs, size), "fingerprints")
+    return _classed(docs, ["doc_id"], radius, size).select("doc_id", "fp", hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+def _classed(docs: DataFrame, keep: list[str], radius: int, size: int) -> DataFrame:
+    printed = common.stored(fingerprints(docs, size, keep), "fingerprints")
     groups = common.stored(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     roots = classes(links(groups.select("fp"), radius))
     rooted = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = common.stored(rooted.join(smallest, "root").select("fp", "component_id"), "named-fingerprints")
-    return printed.join(named, "fp").select("doc_id", "fp", hexadecimal("fp").alias("fingerprint"), "component_id")
+    named = common.stored(rooted.join(smallest, "root").select("fp", "root", "component_id"), "named-fingerprints")
+    return printed.join(named, "fp").select(*keep, "fp", "root", "component_id")
+
+
+def representatives(docs: DataFrame, radius: int = 4, size: int = 4) -> DataFrame:
+    """One row of each class, with all its columns: that with the smallest doc_id (NULL comes last), then
+    with the least hash of all columns. Of rows that are equal throughout one stays."""
+    row = F.xxhash64(*[F.col(c) for c in docs.columns])
+    classed = _classed(docs.select("doc_id", "text", row.alias("row")), ["doc_id", "row"], radius, size)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first")
+    kept = common.stored(classed.groupBy("root").agg(first).select(
+        F.col("first.doc_id").alias("kept_id"), F.col("first.row").alias("kept_row")), "representatives")
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # columns may have any names
+    rows = docs.select(row.alias("row"), *[F.col(c).alias(n) for c, n in names.items()])
+    same = F.col(names["doc_id"]).eqNullSafe(F.col("kept_id")) & (F.col("row") == F.col("kept_row"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["row", names["doc_id"]]).select(
+        *[F.col(n).alias(c) for c, n in names.items()])
 
 
 def hexadecimal(name: str) -> Column:
