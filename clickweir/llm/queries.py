@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import common, decontamination, packing, secrets, simhash, toxicity
+from clickweir.llm import common, decontamination, packing, secrets, simhash, toxicity, warc
 from clickweir.llm.common import table
 from clickweir.sources.session import use_utc
 
@@ -31,6 +31,11 @@ def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "ordinal", "kind", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "score")
 
 
+def op5_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    read = warc.archived(table(prepared(spark), folder, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     prepared(spark)
     return simhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
@@ -59,6 +64,11 @@ def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "ordinal", "kind", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "score")
 
 
+def op5_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    read = warc.archived(table(prepared(spark), folder, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     prepared(spark)
     return simhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
@@ -93,6 +103,7 @@ def registered() -> dict:
         "op1_toxicity": op1_toxicity,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_secret_scans": op4_secret_scans,
+        "op5_warc_revisits": op5_warc_revisits,
         "op6_simhash": op6_simhash,
         "op8_decontamination": op8_decontamination,
         "pipeline": pipeline,
