@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import common, decontamination, packing, secrets, simhash, toxicity, warc
+from clickweir.llm import common, decontamination, merkle, packing, secrets, simhash, toxicity, warc
 from clickweir.llm.common import table
 from clickweir.sources.session import use_utc
 
@@ -92,6 +92,12 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op9_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.compared(table(prepared(spark), folder, "documents")).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -106,6 +112,7 @@ def registered() -> dict:
         "op5_warc_revisits": op5_warc_revisits,
         "op6_simhash": op6_simhash,
         "op8_decontamination": op8_decontamination,
+        "op9_document_fingerprints": op9_document_fingerprints,
         "pipeline": pipeline,
     }
 
