@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import chat, common, decontamination, merkle, packing, secrets, simhash, toxicity, warc
+from clickweir.llm import chat, common, decontamination, merkle, packing, quality, secrets, simhash, toxicity, warc
 from clickweir.llm.common import table
 from clickweir.sources.session import use_utc
 
@@ -48,6 +48,15 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    prepared(spark)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", (common.fold("doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     rows = packing.packed_documents(docs, ranks_path())
     return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -120,6 +129,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_quality_classifier": op2_quality_classifier,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_secret_scans": op4_secret_scans,
         "op5_warc_revisits": op5_warc_revisits,
