@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import chat, common, decontamination, merkle, packing, quality, secrets, simhash, toxicity, warc
+from clickweir.llm import chat, common, decontamination, language, merkle, packing, quality, secrets, simhash, toxicity, warc
 from clickweir.llm.common import table
 from clickweir.sources.session import use_utc
 
@@ -96,6 +96,11 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    model = language.fit(table(prepared(spark), folder, "documents"))
+    return language.identify(table(spark, folder, "pages"), model)
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     prepared(spark)
     return decontamination.contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -134,6 +139,7 @@ def registered() -> dict:
         "op4_secret_scans": op4_secret_scans,
         "op5_warc_revisits": op5_warc_revisits,
         "op6_simhash": op6_simhash,
+        "op7_language_id": op7_language_id,
         "op8_decontamination": op8_decontamination,
         "op9_document_fingerprints": op9_document_fingerprints,
         "op10_chat_formatting": op10_chat_formatting,
