@@ -149,4 +149,37 @@ def registered() -> dict:
 
 def statements() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
-    return {}
+    digest = "sha1(coalesce(html, ''))"
+    letters = " || ".join(
+        f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr({digest}, {5 * g + 1}, 5))::BIGINT >> {s}) & 31)::INT + 1, 1)"
+        for g in range(8) for s in (15, 10, 5, 0))
+    mark = r"([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>|</?ROLE>>|<TEXT>>)"
+    return {
+        "op5_warc_revisits": f"""
+            WITH headers AS (
+                SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, {letters} AS payload_digest
+                FROM pages WHERE page_id IS NOT NULL
+            ), found AS (
+                SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS original FROM headers
+            )
+            SELECT page_id, payload_bytes, payload_digest,
+                   CASE WHEN original = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+                   CASE WHEN original <> page_id THEN original END AS refers_to
+            FROM found""",
+        "op10_chat_formatting": f"""
+            WITH source AS (
+                SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+                UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+            ), rendered AS (
+                SELECT *, length(regexp_replace(text, '{mark}', '\\1\\\\\\2\\3', 'g')) + CASE role
+                    WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 ELSE 25 + length(role) END AS size
+                FROM source
+            )
+            SELECT conv_id, count(*) AS n_turns,
+                   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+                   coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+                   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+                   sum(size)::BIGINT AS formatted_chars
+            FROM rendered GROUP BY conv_id""",
+    }

@@ -72,13 +72,17 @@ def dictionary(docs: DataFrame, settings: Settings = Settings()) -> list[str]:
 
 def candidates(text: Column, triples: list[str], path: Column | None = None) -> Column:
     """``array<struct>`` of the candidates of a text in order, with their features; NULL for NULL."""
-    found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
     gaps = F.split(text, CANDIDATE, -1)
+    zipped = F.arrays_zip(
+        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("value"), gaps.alias("before"),
+        F.slice(gaps, 2, 2**31 - 1).alias("after"))
+    # Each candidate gets its own neighbourhood first, so that what follows never goes back to the text.
+    around = F.transform(F.filter(zipped, lambda x: x["value"].isNotNull()), lambda x: F.struct(
+        x["value"].alias("value"), F.right(x["before"], F.lit(40)).alias("before"), F.left(x["after"], F.lit(20)).alias("after")))
     test = F.coalesce(path.rlike(_TEST_PATH), F.lit(False)) if path is not None else F.lit(False)
 
-    def described(value: Column, i: Column) -> Column:
-        before = F.right(F.get(gaps_of, i), F.lit(40))
-        after = F.left(F.get(gaps_of, i + 1), F.lit(20))
+    def described(x: Column) -> Column:
+        value, before, after = x["value"], x["before"], x["after"]
         size = F.length(value)
         classes = F.translate(value, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=", "A" * 26 + "a" * 26 + "0" * 10 + "_" * 5)
         runs = F.length(F.regexp_replace(classes, r"(.)\1*", "$1"))
@@ -100,9 +104,7 @@ def candidates(text: Column, triples: list[str], path: Column | None = None) ->
                           F.when(before.rlike(_NAMED), F.lit("assigned")), F.lit("string"))
         return F.struct(value.alias("value"), kind.alias("kind"), *[values[n].alias(n) for n in FEATURES])
 
-    both = F.struct(found.alias("found"), gaps.alias("gaps"))
-    gaps_of = both["gaps"]
-    return F.transform(both["found"], described)
+    return F.transform(around, described)
 
 
 def labelled(findings: DataFrame) -> DataFrame:
