@@ -75,7 +75,7 @@ def candidates(text: Column, triples: list[str], path: Column | None = None) ->
     gaps = F.split(text, CANDIDATE, -1)
     zipped = F.arrays_zip(
         F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("value"), gaps.alias("before"),
-        F.slice(gaps, 2, 2**31 - 1).alias("after"))
+        F.slice(gaps, 2, 1 << 30).alias("after"))
     # Each candidate gets its own neighbourhood first, so that what follows never goes back to the text.
     around = F.transform(F.filter(zipped, lambda x: x["value"].isNotNull()), lambda x: F.struct(
         x["value"].alias("value"), F.right(x["before"], F.lit(40)).alias("before"), F.left(x["after"], F.lit(20)).alias("after")))
