@@ -23,7 +23,7 @@ def test_small(spark):
     check(spark, [1, 2])
 
 
-def test_large_goes_through_the_brackets(spark):
+def test_heavy_tail(spark):
     rng = np.random.default_rng(3)
     check(spark, rng.exponential(1000, 60_000).round(2))
 
@@ -35,6 +35,30 @@ def test_large_with_a_hot_value(spark):
     check(spark, values)
 
 
+def test_signs_zeros_and_extremes(spark):
+    rng = np.random.default_rng(5)
+    check(spark, [0.0, -0.0, 5e-324, -5e-324, 1e308, -1e308, 2.0, 4.0, np.nextafter(4.0, 0), *rng.normal(0, 1e-3, 3000)])
+    check(spark, 1e6 + rng.integers(0, 9, 5000) * 1e-10)
+
+
+def test_nan_is_no_value(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "v double")
+    row = exact_quantiles(df, "v", {"m": 0.5}).first()
+    assert (row.n, row.highest, row.m) == (2, 3.0, 2.0)
+    ends = spark.createDataFrame([(float("inf"),), (float("-inf"),), (1.0,)], "v double")
+    row = exact_quantiles(ends, "v", {"a": 0.0, "m": 0.5, "z": 1.0}).first()
+    assert (row.a, row.m, row.z) == (float("-inf"), 1.0, float("inf"))
+
+
+def test_values_are_exchanged_once_and_combined_first(spark):
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.rand(1).alias("v"))
+    plan = exact_quantiles(df, "v", {"m": 0.5}, ["k"])._jdf.queryExecution().executedPlan().toString()
+    below = [line for line in plan.splitlines() if "Range (0, 1000" in line or "rand(1)" in line]
+    assert "HashAggregate(keys=[_key" in plan and below
+    scans = plan.split("Range (0, 1000")
+    assert all("partial_count" in part for part in scans[:-1])
+
+
 def test_constant(spark):
     check(spark, [7] * 30_000)
 
