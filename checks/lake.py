@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickweir.plans import bronze, gold, silver
 from clickweir.plans.config import Layout
 from clickweir.sources import clicks, tables
 from clickweir.sources.session import scratch_path
 
-FIRST, LAST = "2024-01-01", "2024-01-31"
 _BUILT: dict[tuple[str, str, str], object] = {}
 
 
@@ -44,10 +44,20 @@ def bronze_lake(spark: SparkSession, folder: str) -> Layout:
     return _once(spark, folder, "bronze", build)
 
 
+def date_range(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """The first and the last date that bronze has."""
+    days = visited(spark, folder).agg(F.min("event_date").alias("a"), F.max("event_date").alias("b")).first()
+    return days["a"], days["b"]
+
+
+def dates(spark: SparkSession, folder: str) -> dict[str, str]:
+    return dict(zip(("start", "end"), date_range(spark, folder)))
+
+
 def silver_lake(spark: SparkSession, folder: str) -> Layout:
     def build():
         layout = bronze_lake(spark, folder)
-        silver.run(spark, layout, start=FIRST, end=LAST, as_of=clicks.AS_OF)
+        silver.run(spark, layout, **dates(spark, folder), as_of=clicks.AS_OF)
         return layout
 
     return _once(spark, folder, "silver", build)
@@ -56,11 +66,11 @@ def silver_lake(spark: SparkSession, folder: str) -> Layout:
 def gold_lake(spark: SparkSession, folder: str) -> Layout:
     def build():
         layout = silver_lake(spark, folder)
-        dates = {"start": FIRST, "end": LAST, "as_of": clicks.AS_OF}
-        gold.run_kpis(spark, layout, exact=True, **dates)
-        gold.run_sessions(spark, layout, **dates)
-        gold.run_funnels(spark, layout, exact=True, **dates)
-        gold.run_anomaly_aggs(spark, layout, **dates)
+        given = {**dates(spark, folder), "as_of": clicks.AS_OF}
+        gold.run_kpis(spark, layout, exact=True, **given)
+        gold.run_sessions(spark, layout, **given)
+        gold.run_funnels(spark, layout, exact=True, **given)
+        gold.run_anomaly_aggs(spark, layout, **given)
         return layout
 
     return _once(spark, folder, "gold", build)

@@ -79,6 +79,17 @@ def feed(spark, folder):
     return rollups.alert_feed(alerts.alert_rows(rows, NOW), summaries.anomaly_summary(rows))
 
 
+def alert_counts(spark, folder):
+    rows = flagged(spark, folder)
+    return rollups.alert_counts(alerts.alert_rows(rows, NOW), summaries.anomaly_summary(rows))
+
+
+def gapped(spark, folder):
+    """Events whose clicks become errors from 10 January on, so that the funnel has a gap."""
+    late = (F.col("event_type") == "click") & (F.col("event_date") >= "2024-01-10")
+    return clicks.events(spark, folder).withColumn("event_type", F.when(late, "error").otherwise(F.col("event_type")))
+
+
 def funnel_table(spark, folder):
     return funnels.funnels(visited(spark, folder), exact=True, as_of=NOW)
 
@@ -199,14 +210,14 @@ def s14_create_table(spark, folder):
 @query
 def p1_numeric_coercion(spark, folder):
     typed = ingest.coerce_types(ingest.parse_raw(lines(spark, folder)))
-    return typed.filter(F.col("event_id").isNotNull()).select(
+    return typed.select(
         "event_id", "amount", "error_code", "response_time_ms", "status_code")
 
 
 @query
 def p2_timestamp_coercion(spark, folder):
     typed = ingest.coerce_types(ingest.parse_raw(lines(spark, folder)))
-    return typed.filter(F.col("event_id").isNotNull()).select("event_id", "timestamp")
+    return typed.select("event_id", "timestamp")
 
 
 @query
@@ -249,7 +260,7 @@ def p10_quality_split(spark, folder):
 @query
 def p11_p12_conform_and_stamp(spark, folder):
     rows = clicks.blemished(visited(spark, folder))
-    enriched = events.enrich_columns(rows).withColumn("event_number_in_session", F.lit(1))
+    enriched = events.number_events(events.enrich_columns(rows))
     scored = anomalies.no_anomalies(events.score_quality(enriched, NOW))
     return schemas.conform(events.stamp(scored, NOW), schemas.SILVER_EVENT)
 
@@ -291,8 +302,7 @@ def w3_w4_first_and_last(spark, folder):
 
 @query
 def w5_next_step(spark, folder):
-    rows = clicks.events(spark, folder).filter("event_type <> 'click' or event_date < '2024-01-10'")
-    return funnels.funnels(rows, exact=True, as_of=NOW).select(
+    return funnels.funnels(gapped(spark, folder), exact=True, as_of=NOW).select(
         "window_start", "funnel_step", "unique_users", "conversion_to_next", "drop_off_count", "drop_off_rate")
 
 
@@ -406,6 +416,11 @@ def d8_top_alerts(spark, folder):
     return alerts.top_alerts(alert_table(spark, folder)).select("alert_id", "anomaly_score")
 
 
+@query
+def d8_alerts_cut(spark, folder):
+    return alerts.alerts_cut(alert_table(spark, folder))
+
+
 @query
 def d9_score_bands(spark, folder):
     return alerts.with_band(alert_table(spark, folder)).select("alert_id", "band")
@@ -525,17 +540,17 @@ def r16_funnel_trend(spark, folder):
 
 @query
 def r17_alert_summary(spark, folder):
-    return rollups.alert_summary(feed(spark, folder))
+    return rollups.alert_summary(alert_counts(spark, folder))
 
 
 @query
 def r18_alerts_by_type(spark, folder):
-    return rollups.distribution(feed(spark, folder), "anomaly_type")
+    return rollups.alerts_by_type(alert_counts(spark, folder))
 
 
 @query
 def r19_alerts_by_severity(spark, folder):
-    return rollups.alerts_by_severity(feed(spark, folder))
+    return rollups.alerts_by_severity(alert_counts(spark, folder))
 
 
 @query
@@ -551,8 +566,7 @@ def r21_browse_events(spark, folder):
 
 @query
 def r22_column_profile(spark, folder):
-    return rollups.column_profile(
-        clicks.events(spark, folder), ["event_type", "user_id", "product_id", "amount", "response_time_ms"])
+    return rollups.column_profile(clicks.events(spark, folder).select(*schemas.CLEAN_EVENT.fieldNames()))
 
 
 @query
@@ -582,8 +596,7 @@ def r26_dashboard_sessions(spark, folder):
 
 @query
 def r27_dashboard_funnels(spark, folder):
-    rows = clicks.events(spark, folder).filter("event_type <> 'click' or event_date < '2024-01-10'")
-    return funnels.dashboard_funnels(rows)
+    return funnels.dashboard_funnels(gapped(spark, folder))
 
 
 @query
@@ -652,19 +665,60 @@ def b1_bronze_batch(spark, folder):
 def b3_b6_silver_range(spark, folder):
     layout = lake.bronze_lake(spark, folder)
     own = Layout(scratch_path(spark, "b3"), bronze=layout.bronze)
-    return lake.stats_row(spark, silver.run(spark, own, start=lake.FIRST, end=lake.LAST, as_of=NOW))
+    return lake.stats_row(spark, silver.run(spark, own, **lake.dates(spark, folder), as_of=NOW))
 
 
 @query
 def b4_b5_b6_gold_range(spark, folder):
     layout = lake.silver_lake(spark, folder)
     own = Layout(scratch_path(spark, "b5"), silver=layout.silver)
-    return lake.stats_row(spark, gold.run_all(spark, own, start=lake.FIRST, end=lake.LAST, as_of=NOW))
+    return lake.stats_row(spark, gold.run_all(spark, own, **lake.dates(spark, folder), as_of=NOW))
+
+
+def rerun_on_nothing(spark, folder):
+    """Silver and gold of all dates, then again after the bronze rows of half of them are gone."""
+    layout = lake.bronze_lake(spark, folder)
+    first, last = lake.date_range(spark, folder)
+    own = Layout(scratch_path(spark, "emptied"), bronze=layout.bronze)
+    silver.run(spark, own, start=first, end=last, as_of=NOW)
+    gold.run_all(spark, own, start=first, end=last, as_of=NOW)
+    bare = Layout(own.root, bronze=scratch_path(spark, "no-bronze"))
+    tables.create_if_missing(spark, bare.bronze, schemas.CLEAN_EVENT, ["event_date"])
+    silver.run(spark, bare, start=first, end=last, as_of=NOW)
+    return bare, first, last
+
+
+@query
+def b3_emptied_date(spark, folder):
+    layout, _, _ = rerun_on_nothing(spark, folder)
+    parts = {"silver": (layout.silver, schemas.SILVER_EVENT), "quarantine": (layout.quarantine, schemas.QUARANTINE)}
+    left = [tables.read_table(spark, *of).select(F.lit(name).alias("stage"), "event_id") for name, of in parts.items()]
+    return left[0].unionByName(left[1])
+
+
+@query
+def b4_emptied_date(spark, folder):
+    layout, first, last = rerun_on_nothing(spark, folder)
+    gold.run_all(spark, layout, start=first, end=last, as_of=NOW)
+    parts = {"kpis": (layout.kpis, schemas.KPI), "sessions": (layout.sessions, schemas.SESSION),
+             "funnels": (layout.funnels, schemas.FUNNEL), "anomalies": (layout.anomalies, schemas.ANOMALY_SUMMARY)}
+    left = [tables.read_table(spark, *of).select(F.lit(name).alias("stage"), "event_date") for name, of in parts.items()]
+    return left[0].unionByName(left[1]).unionByName(left[2]).unionByName(left[3])
+
+
+@query
+def b7_rerun_skips(spark, folder):
+    bronze_of = lake.bronze_lake(spark, folder)
+    first, last = lake.date_range(spark, folder)
+    own = Layout(scratch_path(spark, "skipped"), bronze=bronze_of.bronze)
+    for skip in (False, True):
+        silver.run(spark, own, start=first, end=last, as_of=NOW, skip_anomalies=skip)
+    return spark.read.schema("key string, value string, event_date string").json(own.alerts).select("key", "event_date")
 
 
 @query
 def b7_silver_without_anomalies(spark, folder):
     layout = lake.bronze_lake(spark, folder)
     own = Layout(scratch_path(spark, "b7"), bronze=layout.bronze)
-    stats = silver.run(spark, own, start=lake.FIRST, end=lake.LAST, as_of=NOW, skip_anomalies=True)
+    stats = silver.run(spark, own, **lake.dates(spark, folder), as_of=NOW, skip_anomalies=True)
     return lake.stats_row(spark, stats)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clickweir.settings import WINDOW_LABELS
-
-_UNIT_SECONDS = {"h": 3600, "m": 60, "s": 1}
+_WIDTH = re.compile(r"(?P<count>[0-9]*[1-9][0-9]*)(?P<unit>[hms]?)")
 DAY_SECONDS = 86400
 
 
@@ -35,23 +34,20 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 
 def window_seconds(label: str | int) -> int:
-    """Seconds of a width such as ``5m``, ``2h``, ``90s`` or ``3600``."""
-    text = str(label).strip().lower()
-    if text in WINDOW_LABELS:
-        return WINDOW_LABELS[text]
-    unit = _UNIT_SECONDS.get(text[-1:])
-    return int(text) if unit is None else int(text[:-1]) * unit
+    """Seconds of a width: a positive whole number of hours, minutes or seconds (``2h``, ``5m``, ``90s``),
+    or of seconds without a unit. Anything else is refused."""
+    match = _WIDTH.fullmatch(str(label).strip().lower())
+    if match is None:
+        raise ValueError(f"a window width is a positive number of h, m or s, not {label!r}")
+    return int(match["count"]) * {"h": 3600, "m": 60}.get(match["unit"], 1)
 
 
 def window_label(seconds: int) -> str:
-    """The shortest label of a width: the known ones first, then whole hours, minutes, seconds."""
-    for label, width in WINDOW_LABELS.items():
-        if width == seconds:
-            return label
-    for unit, size in _UNIT_SECONDS.items():
-        if seconds >= size and seconds % size == 0:
-            return f"{seconds // size}{unit}"
-    return f"{seconds}s"
+    """The label of a width: the number of the largest units that it is a whole number of."""
+    hours, minutes = divmod(seconds, 3600), divmod(seconds, 60)
+    if seconds <= 0:
+        raise ValueError(f"a window width is positive, not {seconds}")
+    return f"{hours[0]}h" if not hours[1] else f"{minutes[0]}m" if not minutes[1] else f"{seconds}s"
 
 
 def tumbling(ts: str, seconds: int, slide: int | None = None) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweir import settings
@@ -51,6 +51,12 @@ def top_alerts(alerts: DataFrame, limit: int = settings.MAX_ALERTS_PER_BATCH) ->
     return alerts.orderBy(F.col("anomaly_score").desc_nulls_last(), "alert_id").limit(limit)
 
 
+def alerts_cut(alerts: DataFrame, limit: int = settings.MAX_ALERTS_PER_BATCH) -> DataFrame:
+    """One row: how many alerts there are, and how many of them ``top_alerts`` leaves out."""
+    total = F.count(F.lit(1))
+    return alerts.agg(total.alias("total"), F.greatest(total - limit, F.lit(0)).alias("cut"))
+
+
 def score_band(score="anomaly_score"):
     return F.when(F.col(score) >= 0.8, "red").when(F.col(score) >= 0.5, "orange").otherwise("yellow")
 
@@ -73,6 +79,7 @@ def digest(alerts: DataFrame, size: int = settings.DIGEST_SIZE) -> DataFrame:
     )
 
 
-def alert_messages(alerts: DataFrame) -> DataFrame:
-    """Key and JSON value per alert, as a message sink wants them."""
-    return alerts.select(F.col("alert_id").alias("key"), F.to_json(F.struct(*alerts.columns)).alias("value"))
+def alert_messages(alerts: DataFrame, **more: Column) -> DataFrame:
+    """Key and JSON value per alert, as a message sink wants them, and what else is asked for."""
+    value = F.to_json(F.struct(*alerts.columns))
+    return alerts.select(F.col("alert_id").alias("key"), value.alias("value"), *[c.alias(n) for n, c in more.items()])

@@ -14,7 +14,7 @@ def batch_stats(df: DataFrame, per_day: bool = False) -> DataFrame:
     grouped = df.groupBy("event_date") if per_day else df.groupBy()
     return grouped.agg(
         F.count(F.lit(1)).alias("_rows"),
-        (F.count_if(F.col("event_type") == "error") / F.count(F.lit(1))).alias("_error_rate"),
+        F.try_divide(F.count_if(F.col("event_type") == "error"), F.count(F.lit(1))).alias("_error_rate"),
         F.coalesce(F.avg("response_time_ms"), F.lit(0.0)).alias("_rt_mean"),
         F.stddev_samp("response_time_ms").alias("_rt_dev"),
     ).withColumn("_rt_dev", F.when(F.col("_rt_dev") > 0, F.col("_rt_dev")).otherwise(1.0))
@@ -40,13 +40,13 @@ def flag_anomalies(
     """Mark error events of a batch with too many errors, and responses far above the mean.
 
     The statistics are one row (``per_day``: one row per date of the run), so they are broadcast
-    and the events are not moved.
+    and the events are not moved. Rows without a date belong to no day and are not flagged.
     """
     stats = F.broadcast(batch_stats(df, per_day))
-    joined = df.join(stats, "event_date") if per_day else df.crossJoin(stats)
+    joined = df.join(stats, "event_date", "left") if per_day else df.crossJoin(stats)
 
     z = (F.col("response_time_ms") - F.col("_rt_mean")) / F.col("_rt_dev")
-    enough = F.col("_rows") >= min_samples
+    enough = F.coalesce(F.col("_rows") >= min_samples, F.lit(False))
     spike = enough & (F.col("event_type") == "error") & (F.col("_error_rate") > error_rate_threshold)
     slow = enough & (z > slow_response_z)
     spike_score = F.round(F.least(F.col("_error_rate") / F.lit(error_rate_threshold), F.lit(2.0)), 2)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from clickweir import settings
 from clickweir.functions.timing import tumbling
@@ -166,7 +166,9 @@ def _binned(values: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _numbers(df: DataFrame, column: str) -> DataFrame:
-    return df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    """Values as doubles with one zero; NULL and NaN are no values."""
+    number = F.col(column).cast("double") + F.lit(0.0)
+    return df.select(number.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
 
 def histogram(df: DataFrame, column: str, bins: int, bin_limit: DataFrame | None = None) -> DataFrame:
@@ -198,7 +200,7 @@ def duration_histogram(sessions: DataFrame, bins: int = 40) -> DataFrame:
 
 def numeric_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """As many bins as there are distinct values, at most ``bins``."""
-    distinct = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(bins)
+    distinct = _numbers(df, column).distinct().limit(bins)
     return histogram(df, column, bins, distinct.agg(F.count(F.lit(1)).alias("bins")))
 
 
@@ -240,32 +242,52 @@ def alert_feed(alerts: DataFrame, summary: DataFrame, window_seconds: int = 3600
     The join key has few values and hot ones, so it is left to run-time sizes: the summary has one
     row per window and type and is broadcast when that proves small, else skewed parts are split.
     """
+    return _windowed_alerts(alerts, window_seconds).join(
+        summary.select("window_start", "anomaly_type", "severity"), ["window_start", "anomaly_type"], "left")
+
+
+def _windowed_alerts(alerts: DataFrame, window_seconds: int) -> DataFrame:
     seen = F.to_timestamp("timestamp")
     acknowledged = F.col("acknowledged") if "acknowledged" in alerts.columns else F.lit(False)
-    return (
-        alerts.withColumns({
-            "acknowledged": F.coalesce(acknowledged, F.lit(False)),
-            "window_start": F.timestamp_seconds(
-                F.floor(F.unix_seconds(seen) / window_seconds) * window_seconds),
-        })
-        .join(summary.select("window_start", "anomaly_type", "severity"), ["window_start", "anomaly_type"], "left")
+    return alerts.withColumns({
+        "acknowledged": F.coalesce(acknowledged, F.lit(False)),
+        "window_start": F.timestamp_seconds(F.floor(F.unix_seconds(seen) / window_seconds) * window_seconds),
+    })
+
+
+def alert_counts(alerts: DataFrame, summary: DataFrame, window_seconds: int = 3600) -> DataFrame:
+    """Alerts per window, type and acknowledgement (``alerts``), with their severity. They are counted
+    before they meet the summary, so the join has a few rows per window."""
+    keys = ["window_start", "anomaly_type"]
+    counts = _windowed_alerts(alerts, window_seconds).groupBy(*keys, "acknowledged").agg(F.count(F.lit(1)).alias("alerts"))
+    return counts.join(summary.select(*keys, "severity"), keys, "left")
+
+
+def alert_summary(counts: DataFrame) -> DataFrame:
+    """Headline numbers from ``alert_counts``."""
+    def those(condition):
+        return F.coalesce(F.sum(F.when(condition, F.col("alerts"))), F.lit(0))
+    return counts.agg(
+        those(~F.col("acknowledged")).alias("active"),
+        those(F.lit(True)).alias("total"),
+        those(F.col("severity") == "critical").alias("critical"),
+        those(F.col("acknowledged")).alias("acknowledged"),
     )
 
 
-def alert_summary(feed: DataFrame) -> DataFrame:
-    return feed.agg(
-        F.count_if(~F.col("acknowledged")).alias("active"),
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("severity") == "critical").alias("critical"),
-        F.count_if("acknowledged").alias("acknowledged"),
+def alerts_by_type(counts: DataFrame) -> DataFrame:
+    """Alerts per type from ``alert_counts``, most frequent first."""
+    return (
+        counts.filter(F.col("anomaly_type").isNotNull()).groupBy("anomaly_type")
+        .agg(F.sum("alerts").alias("count")).orderBy(F.desc("count"), "anomaly_type")
     )
 
 
-def alerts_by_severity(feed: DataFrame) -> DataFrame:
-    """One row per severity, zero where there is none."""
-    spine = feed.sparkSession.range(1).select(
+def alerts_by_severity(counts: DataFrame) -> DataFrame:
+    """One row per severity from ``alert_counts``, zero where there is none."""
+    spine = counts.sparkSession.range(1).select(
         F.posexplode(F.array(*[F.lit(s) for s in settings.SEVERITIES])).alias("rank", "severity"))
-    counts = feed.groupBy("severity").agg(F.count(F.lit(1)).alias("count"))
+    counts = counts.groupBy("severity").agg(F.sum("alerts").alias("count"))
     return spine.join(counts, "severity", "left").na.fill(0, ["count"]).select("severity", "rank", "count")
 
 
@@ -278,6 +300,7 @@ def alert_timeline(feed: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- explorer
 
+# The columns the event browser shows.
 BROWSER_COLUMNS = [
     "event_id", "event_type", "user_id", "session_id", "timestamp", "country", "device_type",
     "traffic_source", "response_time_ms", "amount", "error_code",
@@ -310,7 +333,10 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     names = [f.name for f in fields]
     numeric = [f.name for f in fields if isinstance(f.dataType, NumericType)]
     types = F.create_map(*[F.lit(x) for f in fields for x in (f.name, f.dataType.simpleString())])
-    values = df.select([F.col(c).cast("string").alias(c) for c in names]).unpivot([], names, "column", "_v")
+    floating = {f.name for f in fields if isinstance(f.dataType, (DoubleType, FloatType))}
+    # NaN counts as missing and both zeros as one, as in the statistics.
+    known = {c: F.nullif(F.col(c) + F.lit(0.0), F.lit(float("nan"))) if c in floating else F.col(c) for c in names}
+    values = df.select([known[c].cast("string").alias(c) for c in names]).unpivot([], names, "column", "_v")
     counts = (
         values.groupBy("column", "_v").agg(F.count(F.lit(1)).alias("_n"))
         .groupBy("column")
@@ -327,7 +353,7 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     if not numeric:
         empty = [F.lit(None).cast("double").alias(c) for c in ("mean", "std", "min", "max", "median")]
         return counts.select("*", *empty)
-    numbers = df.select([F.col(c).cast("double").alias(c) for c in numeric]).unpivot([], numeric, "column", "_v")
+    numbers = df.select([known[c].cast("double").alias(c) for c in numeric]).unpivot([], numeric, "column", "_v")
     stats = numbers.groupBy("column").agg(
         F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"),
         F.min("_v").alias("min"), F.max("_v").alias("max"),

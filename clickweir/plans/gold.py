@@ -48,15 +48,18 @@ def _refresh(
     start: str | None,
     end: str | None,
     window: str | None = None,
+    read: int | None = None,
 ) -> dict[str, int]:
-    """Compute one gold table for the dates and replace them in it."""
+    """Compute one gold table for the dates and replace them in it, also where silver has no rows (any
+    more). ``read``: the number of silver rows, if the caller has counted them."""
     use_utc(spark)
     create_tables(spark, layout)
-    dates = tables.resolve_dates(spark, layout.silver, event_date, start, end)
-    silver = read_silver(spark, layout, *dates) if dates else None
-    read = silver.count() if dates else 0
-    if not read:
+    dates = tables.resolve_dates(spark, layout.silver, event_date, start, end, layout.fmt)
+    if not dates:
         return {"silver_read": 0, **dict.fromkeys(names, 0)}
+    silver = read_silver(spark, layout, *dates)
+    if read is None:
+        read = silver.count()
     stored = tables.stored_bytes(spark, *tables.date_folders(spark, layout.silver, *dates))
     with sized_shuffles(spark, stored):
         tables.replace_dates(compute(silver), path, *dates, window=window, fmt=layout.fmt)
@@ -64,48 +67,50 @@ def _refresh(
     return {"silver_read": read, **dict.fromkeys(names, written)}
 
 
-def run_kpis(spark, layout, event_date=None, window="1h", start=None, end=None, as_of=None, exact=False) -> dict:
+def run_kpis(spark, layout, event_date=None, window="1h", start=None, end=None, as_of=None, exact=False, read=None) -> dict:
     seconds = _width(window)
     return _refresh(
         spark, layout, layout.kpis, KPI,
         lambda df: windowed_kpis(df, seconds, exact=exact, per_day=True, as_of=as_of),
-        ("windows", "kpis_written"), event_date, start, end, window_label(seconds),
+        ("windows", "kpis_written"), event_date, start, end, window_label(seconds), read,
     )
 
 
-def run_sessions(spark, layout, event_date=None, start=None, end=None, as_of=None) -> dict:
+def run_sessions(spark, layout, event_date=None, start=None, end=None, as_of=None, read=None) -> dict:
     return _refresh(
         spark, layout, layout.sessions, SESSION,
         lambda df: session_metrics(df, per_day=True, as_of=as_of),
-        ("sessions", "sessions_written"), event_date, start, end,
+        ("sessions", "sessions_written"), event_date, start, end, None, read,
     )
 
 
-def run_funnels(spark, layout, event_date=None, window="24h", start=None, end=None, as_of=None, exact=False) -> dict:
+def run_funnels(spark, layout, event_date=None, window="24h", start=None, end=None, as_of=None, exact=False, read=None) -> dict:
     seconds = _width(window)
     return _refresh(
         spark, layout, layout.funnels, FUNNEL,
         lambda df: funnels(df, seconds, exact=exact, as_of=as_of),
-        ("funnel_rows", "funnels_written"), event_date, start, end, window_label(seconds),
+        ("funnel_rows", "funnels_written"), event_date, start, end, window_label(seconds), read,
     )
 
 
-def run_anomaly_aggs(spark, layout, event_date=None, window="1h", start=None, end=None, as_of=None) -> dict:
+def run_anomaly_aggs(spark, layout, event_date=None, window="1h", start=None, end=None, as_of=None, read=None) -> dict:
     seconds = _width(window)
     return _refresh(
         spark, layout, layout.anomalies, ANOMALY_SUMMARY,
         lambda df: anomaly_summary(df, seconds, as_of=as_of),
-        ("anomaly_rows", "anomalies_written"), event_date, start, end, window_label(seconds),
+        ("anomaly_rows", "anomalies_written"), event_date, start, end, window_label(seconds), read,
     )
 
 
 def run_all(
     spark, layout, event_date=None, kpi_window="1h", funnel_window="24h", start=None, end=None, as_of=None
 ) -> dict:
-    """All four tables; the stats of each, and which modes ran."""
+    """All four tables; the stats of each, and which modes ran. Silver is counted once."""
     dates = {"event_date": event_date, "start": start, "end": end, "as_of": as_of}
+    first = run_kpis(spark, layout, window=kpi_window, **dates)
+    dates["read"] = first["silver_read"]
     stats = {
-        **run_kpis(spark, layout, window=kpi_window, **dates),
+        **first,
         **run_sessions(spark, layout, **dates),
         **run_funnels(spark, layout, window=funnel_window, **dates),
         **run_anomaly_aggs(spark, layout, window=kpi_window, **dates),

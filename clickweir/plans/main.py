@@ -37,6 +37,8 @@ def _arguments(argv=None) -> argparse.Namespace:
     dated(refine)
     refine.add_argument("--bronze-path", default="")
     refine.add_argument("--skip-anomalies", action="store_true")
+    refine.add_argument("--alert-format", default="json", help="format of the alert sink; kafka sends messages")
+    refine.add_argument("--alert-option", action="append", default=[], metavar="NAME=VALUE", help="option of the alert sink")
 
     roll = jobs.add_parser("gold", help="silver to gold")
     dated(roll)
@@ -52,7 +54,8 @@ def main(argv=None) -> dict | None:
         "bronze": getattr(args, "output", "") or getattr(args, "bronze_path", ""),
         "silver": getattr(args, "silver_path", ""),
     }
-    layout = Layout(args.root, fmt=args.format, **paths)
+    options = dict(text.split("=", 1) for text in getattr(args, "alert_option", []))
+    layout = Layout(args.root, fmt=args.format, alert_fmt=getattr(args, "alert_format", "json"), alert_options=options, **paths)
     if args.job == "bronze" and args.mode == "streaming":
         source = raw.stream_lines(spark, args.input) if args.input else raw.stream_topic(
             spark, args.kafka_servers, args.topic)

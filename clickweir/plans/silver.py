@@ -38,15 +38,13 @@ def scored_events(bronze: DataFrame, as_of=None, slice_seconds: int = SLICE_SECO
 def send_alerts(silver: DataFrame, layout: Layout, start: str, end: str, as_of=None) -> int:
     """Write one message per anomaly to the alert sink, from the executors; returns how many. A
     file sink holds one partition per date, so sending a date again replaces its messages."""
-    flagged = silver.filter("is_anomaly")
-    alerts = alert_rows(flagged, as_of)
+    alerts = alert_rows(silver, as_of)
     if layout.alert_fmt == "kafka":
         alert_messages(alerts).write.format("kafka").options(**layout.alert_options).save()
     else:
-        date = F.substring(F.get_json_object("value", "$.timestamp"), 1, 10)
-        dated = alert_messages(alerts).withColumn("event_date", date)
+        dated = alert_messages(alerts, event_date=F.substring("timestamp", 1, 10))
         tables.replace_dates(dated, layout.alerts, start, end, fmt=layout.alert_fmt)
-    return flagged.count()
+    return alerts.count()
 
 
 def run(
@@ -66,13 +64,11 @@ def run(
     use_utc(spark)
     create_tables(spark, layout)
     none = dict.fromkeys(STATS, 0)
-    dates = tables.resolve_dates(spark, layout.bronze, event_date, start, end)
+    dates = tables.resolve_dates(spark, layout.bronze, event_date, start, end, layout.fmt)
     if dates is None:
         return none
     bronze = tables.read_dates(spark, layout.bronze, CLEAN_EVENT, *dates, fmt=layout.fmt)
-    bronze_read = bronze.count()
-    if not bronze_read:
-        return none
+    bronze_read = bronze.count()  # dates without rows are rebuilt too: what an earlier run left there goes
     if as_of is None:
         # One moment for the whole run; tasks that run again must see the same clock.
         as_of = spark.range(1).select(instant(None).alias("now")).first()["now"]
@@ -92,7 +88,10 @@ def _rebuild(spark, layout, bronze, bronze_read, dates, skip_anomalies, as_of) -
         tables.replace_dates(conform(stamp(quarantined, as_of), QUARANTINE), layout.quarantine, *dates, fmt=layout.fmt)
         silver = read_silver(spark, layout, *dates)
         after_dedup, written = scored.count(), silver.count()
-        alerts = 0 if skip_anomalies else send_alerts(silver, layout, *dates, as_of=as_of)
+        if skip_anomalies and not tables.exists(spark, layout.alerts):
+            alerts = 0
+        else:  # without anomalies this takes back what an earlier run has sent to files
+            alerts = send_alerts(silver, layout, *dates, as_of=as_of)
         return {
             "after_dedup": after_dedup,
             "passed_quality": written,

@@ -37,9 +37,8 @@ TREND_WINDOW_SECONDS = 300
 # Windows of history behind the rolling traffic average (one hour of 5-minute windows).
 TRAFFIC_HISTORY_WINDOWS = 12
 
-# Funnel steps in order, and window labels.
+# Funnel steps in order.
 FUNNEL_STEPS = ["page_view", "click", "add_to_cart", "purchase"]
-WINDOW_LABELS = {"5m": 300, "15m": 900, "30m": 1800, "1h": 3600, "6h": 21600, "24h": 86400}
 
 # Alert routing.
 MAX_ALERTS_PER_BATCH = 50

@@ -11,10 +11,9 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 # One shuffle partition for this much stored input, and rows take about so many times their stored
-# size in a shuffle. More partitions than the limit cost the driver more than they save.
+# size in a shuffle.
 _BYTES_PER_PARTITION = 128 * 1024 * 1024
 _SHUFFLE_GROWTH = 4
-_MOST_PARTITIONS = 50_000
 
 _OWN_SCRATCH: dict[str, str] = {}
 
@@ -51,7 +50,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def partitions_for(stored: int, at_least: int) -> int:
     """Shuffle partitions for an input of so many bytes; AQE merges those that turn out small."""
     wanted = math.ceil(stored * _SHUFFLE_GROWTH / _BYTES_PER_PARTITION)
-    return max(at_least, min(wanted, _MOST_PARTITIONS))
+    return max(at_least, wanted)
 
 
 @contextmanager

@@ -121,12 +121,21 @@ def latest_date_of(df: DataFrame) -> DataFrame:
 
 
 def resolve_dates(
-    spark: SparkSession, path: str, event_date: str | None, start: str | None, end: str | None
+    spark: SparkSession, path: str, event_date: str | None, start: str | None, end: str | None, fmt: str = "parquet"
 ) -> tuple[str, str] | None:
-    """The range a job works on: the one given, the single date, or the newest partition."""
+    """The range a job works on: the one given, the single date, or the newest date in the table. In a
+    format with transactions folders outlive the rows that were deleted, so there the rows are asked."""
+    if bool(start) != bool(end):
+        raise ValueError("a range needs both its start and its end")
     if start and end:
+        if start > end:
+            raise ValueError(f"the range starts on {start}, after its end on {end}")
         return start, end
-    day = event_date or latest_date(spark, path)
+    day = event_date
+    if not day and fmt == "parquet":
+        day = latest_date(spark, path)
+    elif not day and exists(spark, path):
+        day = latest_date_of(spark.read.format(fmt).load(path)).first()["event_date"]
     return (day, day) if day else None
 
 

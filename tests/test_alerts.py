@@ -59,8 +59,9 @@ def test_messages_are_json(spark):
 def test_feed(spark):
     df = flagged(spark, [(f"e{i}", "odd", 0.5, 1) for i in range(12)] + [("s", "slow_response", 2.0, 9)])
     feed = rollups.alert_feed(alerts.alert_rows(df, AS_OF), summaries.anomaly_summary(df))
-    total = rollups.alert_summary(feed).first()
+    counts = rollups.alert_counts(alerts.alert_rows(df, AS_OF), summaries.anomaly_summary(df))
+    total = rollups.alert_summary(counts).first()
     assert (total.active, total.total, total.critical, total.acknowledged) == (13, 13, 0, 0)
-    levels = {r.severity: r["count"] for r in rollups.alerts_by_severity(feed).collect()}
+    levels = {r.severity: r["count"] for r in rollups.alerts_by_severity(counts).collect()}
     assert levels == {"low": 1, "medium": 12, "high": 0, "critical": 0}
     assert rollups.alert_timeline(feed).count() == 13

@@ -68,3 +68,13 @@ def test_trends(spark):
 
     slow = anomalies.slow_windows(batch(spark, [("click", 100)] * 99 + [("click", 9000)] * 2)).first()
     assert slow.p99_response_time_ms == 9000 and slow.is_slow
+
+
+def test_no_rows_and_rows_without_date(spark):
+    schema = "event_id string, event_type string, response_time_ms int, event_date string"
+    empty = spark.createDataFrame([], schema)
+    assert anomalies.flag_anomalies(empty).count() == 0
+    assert anomalies.batch_stats(empty).first()["_rows"] == 0
+    rows = spark.createDataFrame([("a", "error", 5, None), ("b", "click", 5, "2024-01-01")], schema)
+    got = anomalies.flag_anomalies(rows, per_day=True, min_samples=1).collect()
+    assert {(r.event_id, r.is_anomaly) for r in got} == {("a", False), ("b", False)}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from clickweir import schemas
 from clickweir.operators import anomalies, events
+from clickweir.functions import timing
 from clickweir.plans import bronze, gold, main, silver
 from clickweir.plans.config import Layout
 from clickweir.sources import clicks, session, tables
@@ -134,6 +135,30 @@ def test_rerun_without_rows_clears_the_partition(spark, tmp_path):
     assert tables.read_table(spark, layout.silver, schemas.SILVER_EVENT).count() == 0
 
 
+def test_emptied_dates_and_half_given_ranges(spark, lake, tmp_path):
+    layout, _ = lake
+    own = Layout(str(tmp_path / "t"), bronze=layout.bronze)
+    silver.run(spark, own, event_date="2024-01-15", as_of=AS_OF)
+    gold.run_all(spark, own, event_date="2024-01-15", as_of=AS_OF)
+    bare = Layout(own.root, bronze=str(tmp_path / "none"))
+    tables.create_if_missing(spark, bare.bronze, schemas.CLEAN_EVENT, ["event_date"])
+    assert set(silver.run(spark, bare, event_date="2024-01-15", as_of=AS_OF).values()) == {0}
+    assert gold.run_all(spark, bare, event_date="2024-01-15", as_of=AS_OF)["sessions_written"] == 0
+    for path, schema in ((bare.silver, schemas.SILVER_EVENT), (bare.sessions, schemas.SESSION), (bare.kpis, schemas.KPI)):
+        assert tables.read_table(spark, path, schema).count() == 0
+    for given in ({"start": "2024-01-01"}, {"end": "2024-01-01"}, {"start": "2024-01-02", "end": "2024-01-01"}):
+        with pytest.raises(ValueError):
+            silver.run(spark, own, **given)
+
+
+def test_widths():
+    assert [timing.window_seconds(w) for w in ("5m", "2H", "90s", 3600, " 24h ")] == [300, 7200, 90, 3600, 86400]
+    assert [timing.window_label(s) for s in (300, 7200, 90, 86400, 1)] == ["5m", "2h", "90s", "24h", "1s"]
+    for bad in ("", "0m", "-5m", "m", "1d", "1.5h", 0):
+        with pytest.raises(ValueError):
+            timing.window_seconds(bad)
+
+
 def test_skip_anomalies(spark, lake, tmp_path):
     layout, _ = lake
     own = Layout(str(tmp_path), bronze=layout.bronze)
@@ -199,7 +224,7 @@ def test_shared_folder():
 
 def test_shuffles_fit_the_input(spark):
     assert session.partitions_for(10_000, 8) == 8
-    assert session.partitions_for(10 * 2**40, 200) == 50_000
+    assert session.partitions_for(10 * 2**40, 200) == 327_680
     assert session.partitions_for(2**40, 200) == 32_768
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)

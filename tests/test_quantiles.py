@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickweir.operators.quantiles import exact_quantiles
-from clickweir.operators.rollups import histogram
+from clickweir.operators.rollups import column_profile, histogram, numeric_histogram
 
 PROBS = {"p01": 0.01, "p50": 0.5, "p95": 0.95, "p99": 0.99}
 
@@ -94,3 +94,10 @@ def test_histogram_edges(spark):
     assert [r["count"] for r in histogram(flat, "v", 3).orderBy("bin").collect()] == [2, 0, 0]
     none = spark.createDataFrame([(None,)], "v double")
     assert histogram(none, "v", 3).count() == 0
+
+
+def test_profile_and_histogram_with_nan_and_two_zeros(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (4.0,), (None,)], "v double")
+    row = column_profile(df).first()
+    assert (row.nulls, row.distinct, row["max"], row["mean"], row["median"]) == (2, 2, 4.0, 4 / 3, 0.0)
+    assert [r["count"] for r in numeric_histogram(df, "v").orderBy("bin").collect()] == [2, 1]
