@@ -26,7 +26,7 @@ QUALITY = "event_id string, event_type string, user_id string, session_id string
 
 
 def scored(spark, **fields):
-    row = {"event_id": "evt-001", "event_type": "page_view", "user_id": "user-1", "session_id": "sess-abc",
+    row = {"event_id": "q1", "event_type": "page_view", "user_id": "u1", "session_id": "s1",
            "timestamp": at("2026-05-29 10:00:00"), "device_type": "desktop", "response_time_ms": 150, **fields}
     df = spark.createDataFrame([tuple(row.values())], QUALITY)
     result = events.score_quality(df, AS_OF).first()
@@ -76,22 +76,22 @@ def test_text_timestamps(spark):
 
 def test_split_is_complete(spark, bronze_events):
     damaged = bronze_events.withColumn("user_id", F.lit(None).cast("string")).withColumn(
-        "event_type", F.when(F.col("event_id") < "evt-003", "bogus").otherwise(F.col("event_type"))
-    ).withColumn("session_id", F.when(F.col("event_id") != "evt-001", F.col("session_id")))
+        "event_type", F.when(F.col("event_id") < "b3", "bogus").otherwise(F.col("event_type"))
+    ).withColumn("session_id", F.when(F.col("event_id") != "b1", F.col("session_id")))
     passed, quarantined = events.split_quality(events.score_quality(damaged, AS_OF))
-    assert (passed.count(), quarantined.count()) == (4, 1)
+    assert (passed.count(), quarantined.count()) == (5, 1)
 
 
 def test_dedup_keeps_the_earliest(spark):
-    rows = [("evt-1", at("2026-05-29 10:00:05"), "b"), ("evt-1", at("2026-05-29 10:00:00"), "a"),
-            ("evt-2", at("2026-05-29 10:00:00"), "c")]
+    rows = [("d1", at("2026-05-29 10:00:05"), "b"), ("d1", at("2026-05-29 10:00:00"), "a"),
+            ("d2", at("2026-05-29 10:00:00"), "c")]
     df = spark.createDataFrame(rows, "event_id string, timestamp timestamp, event_type string")
     got = by(events.deduplicate(df), "event_id")
-    assert len(got) == 2 and got["evt-1"].event_type == "a"
+    assert len(got) == 2 and got["d1"].event_type == "a"
 
 
 def test_dedup_per_day(spark):
-    rows = [("evt-1", at("2026-05-29 23:59:59"), "2026-05-29"), ("evt-1", at("2026-05-30 00:00:01"), "2026-05-30")]
+    rows = [("d1", at("2026-05-29 23:59:59"), "2026-05-29"), ("d1", at("2026-05-30 00:00:01"), "2026-05-30")]
     df = spark.createDataFrame(rows, "event_id string, timestamp timestamp, event_date string")
     assert events.deduplicate(df).count() == 1
     assert events.deduplicate(df, per_day=True).count() == 2
@@ -99,11 +99,11 @@ def test_dedup_per_day(spark):
 
 def test_enrichment(bronze_events):
     rows = by(events.enrich(bronze_events), "event_id")
-    assert [rows[f"evt-00{i}"].event_number_in_session for i in range(1, 6)] == [1, 2, 3, 1, 2]
-    first = rows["evt-001"]
-    assert (first.hour_of_day, first.day_of_week) == (10, 6)  # a Friday
-    assert first.traffic_source == "organic" and rows["evt-005"].traffic_source == "social"
-    assert rows["evt-003"].is_purchase_event and rows["evt-004"].is_error_event and not first.is_error_event
+    assert [rows[f"b{i}"].event_number_in_session for i in range(1, 7)] == [1, 2, 3, 1, 2, 4]
+    first = rows["b1"]
+    assert (first.hour_of_day, first.day_of_week) == (14, 6)  # a Friday
+    assert first.traffic_source == "organic" and rows["b4"].traffic_source == "social"
+    assert rows["b6"].is_purchase_event and rows["b5"].is_error_event and not first.is_error_event
 
 
 @pytest.mark.parametrize("text, seconds, label", [

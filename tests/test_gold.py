@@ -17,17 +17,17 @@ def test_kpis(silver_events, exact):
     got = kpis.windowed_kpis(silver_events, exact=exact, as_of=AS_OF)
     assert types(got.schema) == types(schemas.KPI)
     rows = {r.hour: r for r in got.collect()}
-    assert sorted(rows) == [10, 11, 12]
+    assert sorted(rows) == [8, 9, 11]
     total = {name: sum(r[name] for r in rows.values()) for name in kpis.COUNTED}
     assert total == {"page_views": 4, "clicks": 2, "add_to_carts": 1, "purchases": 1, "logins": 1, "errors": 1,
                      "searches": 1}
-    ten = rows[10]
-    assert ten.total_events == 7 and ten.unique_users == 3 and ten.unique_sessions == 3
-    assert ten.revenue_total == 49.99 and ten.revenue_avg == 49.99
-    assert ten.error_rate == round(1 / 7, 4) and ten.conversion_rate == 0.5
-    assert ten.bounce_rate == round(1 / 3, 4) and ten.max_response_time_ms == 5000.0
-    assert ten.p95_response_time_ms == 5000.0 and ten.window_duration == "1h" and ten.event_date == "2026-05-29"
-    assert rows[12].total_events == 2  # logout is not counted
+    eight = rows[8]
+    assert eight.total_events == 6 and eight.unique_users == 2 and eight.unique_sessions == 2
+    assert eight.revenue_total == 30.0 and eight.revenue_avg == 30.0
+    assert eight.error_rate == 0.0 and rows[9].error_rate == 0.25 and eight.conversion_rate == round(1 / 3, 4)
+    assert eight.bounce_rate == 0.5 and eight.max_response_time_ms == 1200.0 and rows[9].max_response_time_ms == 6200.0
+    assert eight.p95_response_time_ms == 1200.0 and eight.window_duration == "1h" and eight.event_date == "2026-05-29"
+    assert rows[11].total_events == 1  # logout is not counted
     assert rows[11].revenue_avg is None and rows[11].revenue_total == 0.0
 
 
@@ -48,7 +48,7 @@ def test_bounce_counts_sessions_over_the_whole_input(spark):
 def test_sliding_windows(silver_events):
     got = kpis.windowed_kpis(silver_events, 3600, slide_seconds=1800, exact=True)
     starts = {str(r.window_start)[11:16]: r.page_views for r in got.collect()}
-    assert starts == {"09:30": 2, "10:00": 2, "10:30": 1, "11:00": 1, "11:30": 1, "12:00": 1}
+    assert starts == {"07:30": 2, "08:00": 3, "08:30": 2, "09:00": 1, "09:30": 0, "10:30": 0, "11:00": 0}
 
 
 def test_sessions(silver_events):
@@ -56,12 +56,12 @@ def test_sessions(silver_events):
     assert types(got.schema) == types(schemas.SESSION)
     rows = by(got, "session_id")
     assert {k: r.event_count for k, r in rows.items()} == {
-        "sess-a": 4, "sess-b": 1, "sess-c": 2, "sess-d": 2, "sess-e": 3}
-    a = rows["sess-a"]
-    assert a.session_duration_seconds == 120.0 and (a.entry_page, a.exit_page) == ("/", "/checkout/confirm")
-    assert a.has_purchased and a.total_revenue == 49.99 and a.user_id == "user-01" and a.purchase_count == 1
-    assert [k for k, r in rows.items() if r.is_bounced] == ["sess-b"]
-    assert rows["sess-b"].entry_traffic_source == "social" and rows["sess-b"].country == "IN"
+        "red": 5, "blue": 1, "green": 4, "grey": 2}
+    red = rows["red"]
+    assert red.session_duration_seconds == 600.0 and (red.entry_page, red.exit_page) == ("/home", "/paid")
+    assert red.has_purchased and red.total_revenue == 30.0 and red.user_id == "u7" and red.purchase_count == 1
+    assert [k for k, r in rows.items() if r.is_bounced] == ["blue"]
+    assert rows["blue"].entry_traffic_source == "social" and rows["blue"].country == "JP"
 
 
 def test_sessions_leave_out_rows_without_session_and_split_by_day(spark):
@@ -80,8 +80,8 @@ def test_funnel(silver_events, exact):
     assert types(got.schema) == types(schemas.FUNNEL)
     rows = by(got, "funnel_step")
     assert {k: r.unique_users for k, r in rows.items()} == {
-        "page_view": 3, "click": 1, "add_to_cart": 1, "purchase": 1}
-    assert rows["page_view"].conversion_to_next == 0.3333 and rows["page_view"].drop_off_count == 2
+        "page_view": 3, "click": 2, "add_to_cart": 1, "purchase": 1}
+    assert rows["page_view"].conversion_to_next == 0.6667 and rows["page_view"].drop_off_count == 1
     assert rows["purchase"].conversion_to_next is None and rows["purchase"].drop_off_rate is None
 
 
@@ -96,11 +96,11 @@ def test_missing_step_is_not_skipped(spark, silver_events):
 def test_anomaly_summary(spark, silver_events):
     empty = summaries.anomaly_summary(silver_events)
     assert empty.count() == 0 and types(empty.schema) == types(schemas.ANOMALY_SUMMARY)
-    odd = silver_events.filter("event_id <= 'evt-005'").withColumns({
+    odd = silver_events.filter("event_id <= 'a05'").withColumns({
         "is_anomaly": F.lit(True), "anomaly_type": F.lit("slow_response"), "anomaly_score": F.lit(1.5)})
     (row,) = summaries.anomaly_summary(odd).collect()
     assert (row.anomaly_count, row.severity, row.triggering_metric) == (5, "low", "response_time_ms")
-    assert (row.metric_value, row.metric_threshold) == (1500.0, 3.0)
+    assert (row.metric_value, row.metric_threshold) == (1200.0, 3.0)
 
 
 @pytest.mark.parametrize("n, level", [(9, "low"), (10, "medium"), (49, "medium"), (50, "high"), (100, "critical")])
@@ -111,22 +111,22 @@ def test_severity(spark, n, level):
 def test_rollups(silver_events):
     table = sessions.session_metrics(silver_events)
     row = rollups.session_summary(table).first()
-    assert (row.total_sessions, row.bounced, row.with_purchase, row.bounce_rate_pct) == (5, 1, 1, 20.0)
+    assert (row.total_sessions, row.bounced, row.with_purchase, row.bounce_rate_pct) == (4, 1, 1, 25.0)
     totals = rollups.overview_totals(silver_events, table).first()
-    assert (totals.total_events, totals.total_users, totals.conversion_rate_pct) == (12, 4, 25.0)
+    assert (totals.total_events, totals.total_users, totals.conversion_rate_pct) == (12, 3, 25.0)
     hours = [(str(r.hour_start)[11:13], r.event_count) for r in rollups.hourly_timeline(
-        silver_events.filter("event_id not in ('evt-008', 'evt-009')")).orderBy("hour_start").collect()]
-    assert hours == [("10", 7), ("11", 0), ("12", 3)]
+        silver_events).orderBy("hour_start").collect()]
+    assert hours == [("08", 6), ("09", 4), ("10", 0), ("11", 2)]
     latest = rollups.latest_window(kpis.windowed_kpis(silver_events)).first()
-    assert latest.hour == 12
+    assert latest.hour == 11
     heat = rollups.activity_heatmap(silver_events).collect()
-    assert len(heat) == 1 and (heat[0].day_name, heat[0].h10, heat[0].h00) == ("Friday", 7, 0)
+    assert len(heat) == 1 and (heat[0].day_name, heat[0].h08, heat[0].h00) == ("Friday", 6, 0)
     found = rollups.browse_events(silver_events, event_types=["click", "error"], rows=10).collect()
-    assert [r.event_id for r in found] == ["evt-009", "evt-007", "evt-002"]
+    assert [r.event_id for r in found] == ["a10", "a09", "a03"]
     with pytest.raises(ValueError):
         rollups.browse_events(silver_events, rows=5000)
     steps = rollups.overall_conversion(funnels.funnels(silver_events, exact=True)).orderBy("step_order").collect()
-    assert [r.conversion_to_next_pct for r in steps] == [33.3, 100.0, 100.0, 0.0]
+    assert [r.conversion_to_next_pct for r in steps] == [66.7, 50.0, 100.0, 0.0]
     profile = by(rollups.column_profile(silver_events, ["amount", "country"]), "column")
-    assert (profile["amount"].nulls, profile["amount"].distinct, profile["amount"].median) == (10, 1, 49.99)
+    assert (profile["amount"].nulls, profile["amount"].distinct, profile["amount"].median) == (10, 1, 30.0)
     assert profile["country"].type == "string" and profile["country"].mean is None
