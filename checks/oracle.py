@@ -356,9 +356,11 @@ def statements() -> dict[str, str]:
     out["a1_kpis_hourly"] = _sql(_kpis("b"), "b", w=_windowed("b", "1 HOUR", "1h"))
     out["a1_kpis_five_minutes"] = _sql(_kpis("b"), "b", w=_windowed("b", "5 MINUTE", "5m"))
     out["a1_kpis_estimated"] = _sql(
-        "SELECT * EXCLUDE (unique_users, unique_sessions, bounce_rate) FROM kp", "b",
+        """SELECT * EXCLUDE (unique_users, unique_sessions, bounce_rate), true AS unique_users_close,
+        true AS unique_sessions_close FROM kp""", "b",
         w=_windowed("b", "1 HOUR", "1h"), kp=_kpis("b"))
-    out["a3_funnels_estimated"] = _sql("SELECT window_start, funnel_step, event_count FROM steps", "v", steps=_steps("v"))
+    out["a3_funnels_estimated"] = _sql(
+        "SELECT window_start, funnel_step, event_count, true AS unique_users_close FROM steps", "v", steps=_steps("v"))
     out["a2_sessions"] = _sql(_sessions("v"), "v")
     out["a3_funnels_daily"] = _sql(_FUNNELS, "v", steps=_steps("v"))
     out["a4_anomaly_summary"] = _sql(_summary("fl"), "fl")
@@ -526,24 +528,23 @@ def statements() -> dict[str, str]:
         round(quantile_cont(response_time_ms, 0.5), 6) AS p50, round(quantile_cont(response_time_ms, 0.95), 6) AS p95,
         round(quantile_cont(response_time_ms, 0.99), 6) AS p99 FROM e GROUP BY 1""", "e")
 
-    # -- streams: what the watermark (last event minus an hour) has closed
-    closed = """(SELECT date_trunc('millisecond', max("timestamp")) - INTERVAL 1 HOUR FROM e)"""
+    # -- streams, all of whose windows are closed
     kpi_names = """window_start, window_end, window_duration, event_date, hour, total_events, page_views, clicks,
         add_to_carts, purchases, logins, errors, searches, avg_response_time_ms, p95_response_time_ms,
         max_response_time_ms, error_rate, purchase_rate, conversion_rate, revenue_total, revenue_avg, processed_at"""
     out["t4_live_kpis"] = _sql(
-        f"SELECT {kpi_names} FROM kp WHERE window_end <= {closed}", "v", w=hourly, kp=_kpis("v"))
+        f"SELECT {kpi_names}, true AS unique_users_close, true AS unique_sessions_close FROM kp", "v", w=hourly, kp=_kpis("v"))
     slow = """SELECT *, response_time_ms > 15000 AS is_anomaly, 'slow_response' AS anomaly_type,
         response_time_ms / 15000.0::DOUBLE AS anomaly_score FROM e"""
     out["t4_live_anomaly_summary"] = _sql(
-        f"""SELECT * REPLACE (round(max_anomaly_score, 6) AS max_anomaly_score) FROM sm WHERE window_end <= {closed}""",
+        f"""SELECT * REPLACE (round(max_anomaly_score, 6) AS max_anomaly_score) FROM sm""",
         "e", sl=slow, sm=_summary("sl"))
     out["t4_live_dedup"] = _sql('SELECT event_id, "timestamp" FROM e', "e")
     unsessioned = _SCORE.replace("(session_id IS NULL OR trim(session_id) = '')::INT", "1")
     out["t4_live_scoring"] = _sql(f"SELECT event_id, traffic_source, round({unsessioned}, 6) AS quality_score FROM b", "b")
     out["t4_live_visits"] = _sql(f"""SELECT user_id, session_start, session_end, event_count, page_view_count, click_count,
         add_to_cart_count, purchase_count, error_count, entry_page, exit_page, session_duration_seconds, is_bounced,
-        has_purchased FROM s WHERE session_end + INTERVAL 6 HOUR - INTERVAL 1 MICROSECOND <= {closed}""", "v", s=s)
+        has_purchased FROM s""", "v", s=s)
 
     # -- jobs
     out["b1_bronze_batch"] = _sql("""SELECT count(*) FILTER (num % 97 <> 0) AS clean,

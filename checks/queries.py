@@ -90,6 +90,14 @@ def gapped(spark, folder):
     return clicks.events(spark, folder).withColumn("event_type", F.when(late, "error").otherwise(F.col("event_type")))
 
 
+def close(estimated, exact, keys, names, share=0.15):
+    """Estimated distinct counts replaced by whether they are as near to the exact ones as three standard
+    errors of the sketch (5 % each), or within two."""
+    other = exact.select(*keys, *[F.col(n).alias(f"_{n}") for n in names])
+    near = {f"{n}_close": F.abs(F.col(n) - F.col(f"_{n}")) <= F.greatest(F.lit(2.0), F.col(f"_{n}") * share) for n in names}
+    return estimated.join(other, keys, "left").withColumns(near).drop(*names, *[f"_{n}" for n in names])
+
+
 def funnel_table(spark, folder):
     return funnels.funnels(visited(spark, folder), exact=True, as_of=NOW)
 
@@ -339,7 +347,8 @@ def a1_kpis_five_minutes(spark, folder):
 @query
 def a1_kpis_estimated(spark, folder):
     estimated = kpis.windowed_kpis(dirty(spark, folder), as_of=NOW)
-    return estimated.drop("unique_users", "unique_sessions", "bounce_rate")
+    exact = kpis.windowed_kpis(dirty(spark, folder), exact=True, as_of=NOW)
+    return close(estimated, exact, ["window_start"], ["unique_users", "unique_sessions"]).drop("bounce_rate")
 
 
 @query
@@ -354,7 +363,9 @@ def a3_funnels_daily(spark, folder):
 
 @query
 def a3_funnels_estimated(spark, folder):
-    return funnels.funnels(visited(spark, folder), as_of=NOW).select("window_start", "funnel_step", "event_count")
+    estimated = funnels.funnels(visited(spark, folder), as_of=NOW).select(
+        "window_start", "funnel_step", "event_count", "unique_users")
+    return close(estimated, funnel_table(spark, folder), ["window_start", "funnel_step"], ["unique_users"])
 
 
 @query
@@ -619,14 +630,15 @@ def t1_bronze_stream(spark, folder):
 
 @query
 def t4_live_kpis(spark, folder):
-    return lake.drain(live.live_kpis(clicks.stream(spark, folder), as_of=NOW), "kpis").drop(
-        "unique_users", "unique_sessions", "bounce_rate")
+    live_ = lake.drain(live.live_kpis(clicks.stream(spark, folder, closing=True), as_of=NOW), "kpis")
+    exact = kpis.windowed_kpis(visited(spark, folder).withColumn("session_id", F.lit(None).cast("string")), exact=True, as_of=NOW)
+    return close(live_, exact, ["window_start"], ["unique_users", "unique_sessions"]).drop("bounce_rate")
 
 
 @query
 def t4_live_anomaly_summary(spark, folder):
     slow = F.col("response_time_ms") > 15000
-    rows = clicks.stream(spark, folder).withColumns({
+    rows = clicks.stream(spark, folder, closing=True).withColumns({
         "is_anomaly": slow,
         "anomaly_type": F.when(slow, "slow_response"),
         "anomaly_score": F.when(slow, F.col("response_time_ms") / 15000.0),
@@ -649,7 +661,7 @@ def t4_live_scoring(spark, folder):
 
 @query
 def t4_live_visits(spark, folder):
-    return lake.drain(live.live_visits(clicks.stream(spark, folder), clicks.GAP_SECONDS), "visits")
+    return lake.drain(live.live_visits(clicks.stream(spark, folder, closing=True), clicks.GAP_SECONDS), "visits")
 
 
 # ---------------------------------------------------------------- jobs

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from clickweir.functions.events import traffic_source
 from clickweir.operators.ordering import visits
 from clickweir.schemas import CLEAN_EVENT, conform
-from clickweir.sources.session import use_utc
+from clickweir.sources.session import scratch_path, use_utc
 
 # The moment that counts as now: the events end two days later, so some are stale, some to come.
 AS_OF = datetime(2024, 1, 28)
@@ -68,11 +68,18 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     })
 
 
-def stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The same events as a file stream."""
+def stream(spark: SparkSession, folder: str, closing: bool = False) -> DataFrame:
+    """The same events as a file stream. ``closing`` adds one event of nobody in the year 2100, which moves
+    the watermark past all others, so that every window of theirs is closed and comes out."""
     use_utc(spark)
     schema = spark.read.parquet(events_path(folder)).schema
     files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    if closing:
+        last = scratch_path(spark, "closing")
+        late = {"ts": "timestamp_ntz'2100-01-01 00:00:00'", "event_id": "-1", "event_type": "'none'"}
+        fields = [f"CAST({late.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema]
+        spark.range(1).selectExpr(*fields).write.parquet(last)
+        files = files.unionByName(spark.readStream.schema(schema).parquet(last))
     return _mapped(files).withColumns({
         "session_id": F.lit(None).cast("string"),
         "event_date": F.to_date("timestamp").cast("string"),
