@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 from clickweir.settings import SESSION_GAP_SECONDS, SLICE_SECONDS
 
 
-def slice_width(rows: int, seconds: int, rows_per_slice: int = 2_000_000) -> int:
+_SHARES = 4096  # of rows without a user
+
+
+def slice_width(rows: int, seconds: int, rows_per_slice: int = 2_000_000) -> float:
     """Slice width for an input of ``rows`` over ``seconds``, such that a group with a third of all
-    rows has about ``rows_per_slice`` of them in each slice; at least a second."""
+    rows has about ``rows_per_slice`` of them in each slice; at least a microsecond."""
     per_second = rows / 3 / max(seconds, 1)
-    return max(1, min(SLICE_SECONDS, int(rows_per_slice / max(per_second, 1e-9))))
+    return max(1e-6, min(float(SLICE_SECONDS), rows_per_slice / max(per_second, 1e-9)))
 
 
-def _sliced(df: DataFrame, group: list[str], ts: str, slice_seconds: int) -> tuple[DataFrame, list[str]]:
+def _sliced(df: DataFrame, group: list[str], ts: str, slice_seconds: float) -> tuple[DataFrame, list[str]]:
     """Add key columns of the group (never NULL; NULLs form one group of their own) and ``_slice``;
     also returns the names of the key columns."""
     keys = {
@@ -29,7 +32,8 @@ def _sliced(df: DataFrame, group: list[str], ts: str, slice_seconds: int) -> tup
         for i, name in enumerate(group)
     }
     # Rows without a time come first, as in any order by it; no row is lost to the join by slice.
-    part = F.coalesce(F.floor(F.unix_seconds(F.col(ts)) / F.lit(slice_seconds)), F.lit(-(2**62)))
+    width = max(1, round(slice_seconds * 1_000_000))
+    part = F.coalesce(F.floor(F.unix_micros(F.col(ts)) / F.lit(width)), F.lit(-(2**62)))
     return df.withColumns({**keys, "_slice": part}), list(keys)
 
 
@@ -39,7 +43,7 @@ def number_in_group(
     out: str,
     ts: str = "timestamp",
     tiebreak: str = "event_id",
-    slice_seconds: int = SLICE_SECONDS,
+    slice_seconds: float = SLICE_SECONDS,
 ) -> DataFrame:
     """1, 2, 3, ... within each group by ``ts`` then ``tiebreak``; NULL groups number as one."""
     rows, keys = _sliced(df, group, ts, slice_seconds)
@@ -67,16 +71,19 @@ def visits(
     tiebreak: str = "event_id",
     gap_seconds: int = SESSION_GAP_SECONDS,
     out: str = "session_id",
-    slice_seconds: int = SLICE_SECONDS,
+    slice_seconds: float = SLICE_SECONDS,
 ) -> DataFrame:
     """Sessions by silence: an event joins its user's open visit iff it comes less than
-    ``gap_seconds`` after the one before. ``out`` becomes ``<user>-<n>``; NULL users get NULL."""
+    ``gap_seconds`` after the one before. ``out`` becomes ``<user>-<n>``; NULL users get NULL, so
+    their order does not matter and they are spread over shares of their own."""
     gap = gap_seconds * 1_000_000
 
     def breaks(previous, current):
         return F.unix_micros(current) - F.unix_micros(previous) >= gap
 
     rows, keys = _sliced(df, [user], ts, slice_seconds)
+    share = F.pmod(F.xxhash64(F.col(ts), F.col(tiebreak)), F.lit(_SHARES))
+    rows = rows.withColumn("_slice", F.when(F.col(user).isNull(), share).otherwise(F.col("_slice")))
     inside = Window.partitionBy(*keys, "_slice").orderBy(ts, tiebreak)
     by_slice = Window.partitionBy(*keys).orderBy("_slice")
     earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)

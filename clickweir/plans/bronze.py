@@ -41,7 +41,12 @@ def run_batch(
     lines = raw.read_array_files(spark, input_path) if json_array else raw.read_lines(spark, input_path)
     batch_id = batch_id or hashlib.sha256(input_path.encode()).hexdigest()[:16]
     with sized_shuffles(spark, tables.stored_bytes(spark, input_path)):
-        _write(parse_events(lines), layout, batch_id, as_of, tables.replace_batch)
+        # Parsed once, into the shared folder; both tables are written from there.
+        parsed, scratch = tables.staged(parse_events(lines), "parsed")
+        try:
+            _write(parsed, layout, batch_id, as_of, tables.replace_batch)
+        finally:
+            tables.remove(spark, scratch)
     # Counted in the tables, where retried tasks cannot inflate them.
     clean = tables.read_batch(spark, layout.bronze, CLEAN_EVENT, BRONZE_PARTITIONS, batch_id, layout.fmt)
     dead = tables.read_batch(spark, layout.dead_letter, DEAD_LETTER, [], batch_id, layout.fmt)

@@ -70,5 +70,23 @@ def test_gap_is_strict(spark):
 
 def test_slice_width():
     assert slice_width(100_000, 86400) == 300
-    assert slice_width(200_000_000_000, 86400) == 2
-    assert slice_width(10**13, 86400) == 1
+    assert slice_width(200_000_000_000, 86400) == pytest.approx(2.592)
+    assert slice_width(10**13, 86400) == pytest.approx(0.05184)
+    assert slice_width(10**13, 1) == 1e-6
+
+
+def test_a_third_of_the_rows_in_one_second(spark):
+    """Slices of a millisecond and shares of rows without a user give the same numbers as one window."""
+    rows = spark.range(6000).select(
+        F.col("id").cast("string").alias("event_id"),
+        F.when(F.col("id") % 3 != 0, F.concat(F.lit("u"), (F.col("id") % 4).cast("string"))).alias("user_id"),
+        F.timestamp_micros(F.when(F.col("id") % 3 == 1, 1_700_000_000_000_000 + F.pmod(F.xxhash64("id"), F.lit(1_000_000)))
+                           .otherwise(1_700_000_000_000_000 + F.pmod(F.xxhash64("id"), F.lit(10**12)))).alias("timestamp"))
+    for width in (0.001, 300):
+        got = number_in_group(rows, ["user_id"], "n", slice_seconds=width)
+        plain = F.row_number().over(Window.partitionBy("user_id").orderBy("timestamp", "event_id"))
+        assert got.withColumn("want", plain).filter("n <> want").count() == 0
+        seen = visits(rows, gap_seconds=60, slice_seconds=width)
+        assert seen.count() == 6000 and seen.filter("user_id is null and session_id is not null").count() == 0
+    fine, coarse = (visits(rows, gap_seconds=60, slice_seconds=w).select("event_id", "session_id") for w in (0.001, 300))
+    assert fine.exceptAll(coarse).count() == 0
