@@ -130,9 +130,17 @@ class Index:
         half = self.edits[item] + 1
         band = diagonal // half
         code = np.concatenate([band, band - 1]) * len(self.points) + np.concatenate([item, item])
-        found, count = np.unique(code, return_counts=True)
+        found, which, count = np.unique(code, return_inverse=True, return_counts=True)
+        enough = count >= self.bound[found % len(self.points)]
+        if not enough.any():
+            return []
+        # What repeats in the document hits one place of the passage many times; the bound is on places.
+        left = np.flatnonzero(enough[which])
+        span = int(self.length.max())
+        places = np.unique(which[left] * span + np.tile(self.at[entry], 2)[left]) // span
+        places = np.bincount(places, minlength=len(found))
         out = []
-        for value in found[count >= self.bound[found % len(self.points)]].tolist():
+        for value in found[places >= self.bound[found % len(self.points)]].tolist():
             i = value % len(self.points)
             low = value // len(self.points) * int(self.edits[i] + 1) - self.longest
             hit = aligned(self.points[i], part, low, 2 * int(self.edits[i] + 1), int(self.edits[i]))
