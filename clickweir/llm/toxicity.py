@@ -34,7 +34,7 @@ class Settings:
     """``per_class`` bounds the labelled documents that are collected for training, and
     ``sample_words`` the words taken from each (evenly spread windows). Scoring has no such bounds."""
 
-    per_class: int = 2400
+    per_class: int = 1600
     sample_words: int = 1600
     window: int = 4
     buckets: int = 1 << 17
@@ -99,15 +99,14 @@ class _Bags:
         words, sizes, owners = [], [], []
         for doc, text in enumerate(texts):
             found = words_of(text)
-            starts = range(0, len(found), settings.window)
             step = max(1, -(-len(found) // settings.sample_words))
-            for at in starts[::step]:
-                part = found[at: at + settings.window]
-                words.append(np.fromiter((number.setdefault(w, len(number)) for w in part), np.int32, len(part)))
-                sizes.append(len(part))
-                owners.append(doc)
-        self.words = np.concatenate(words) if words else np.zeros(0, np.int32)
-        self.sizes, self.owner = np.array(sizes, dtype=np.int64), np.array(owners, dtype=np.int64)
+            starts = np.arange(0, len(found), settings.window)[::step]
+            kept = [w for at in starts.tolist() for w in found[at: at + settings.window]]
+            words.append(np.fromiter((number.setdefault(w, len(number)) for w in kept), np.int32, len(kept)))
+            sizes.append(np.minimum(settings.window, len(found) - starts))
+            owners.append(np.full(len(starts), doc))
+        join = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
+        self.words, self.sizes, self.owner = join(words, np.int32), join(sizes, np.int64), join(owners, np.int64)
         self.cuts = np.cumsum(self.sizes) - self.sizes
         ids, self.starts = subwords(list(number), settings.buckets) if number else (np.zeros(0, np.int64), np.zeros(1, np.int64))
         self.ids = ids.astype(np.int32)
