@@ -35,19 +35,26 @@ _SIGN = 1 << 63
 # ---------------------------------------------------------------- fingerprints
 
 
-def fingerprint(text: bytes | None, size: int = 4, seed: int = 42) -> int:
-    """As an unsigned number. A-Z are lower-cased, words are what ASCII white space parts, shingles of
-    ``size`` words are counted as often as they occur; a text of fewer words is one shingle, and a
-    text without words (or NULL) has fingerprint zero."""
+def shingle_hashes(text: bytes | None, size: int, seed: int = 42) -> np.ndarray:
+    """Hashes of the shingles of a text in order, as unsigned numbers; of a text without words none."""
     words = (text or b"").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     last = max(0, len(words) - size)
     hashed = xxhash.xxh64_intdigest
-    hashes = np.array([hashed(joined[a:b], seed) for a, b in zip(starts[: last + 1].tolist(), ends[-(last + 1):].tolist())], dtype=np.uint64)
+    return np.array([hashed(joined[a:b], seed) for a, b in zip(starts[: last + 1].tolist(), ends[-(last + 1):].tolist())], dtype=np.uint64)
+
+
+def fingerprint(text: bytes | None, size: int = 4, seed: int = 42) -> int:
+    """As an unsigned number. A-Z are lower-cased, words are what ASCII white space parts, shingles of
+    ``size`` words are counted as often as they occur; a text of fewer words is one shingle, and a
+    text without words (or NULL) has fingerprint zero."""
+    hashes = shingle_hashes(text, size, seed)
+    if not len(hashes):
+        return 0
     ones = np.zeros(_BITS, dtype=np.int64)
     for i in range(0, len(hashes), 1 << 14):
         part = hashes[i: i + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -260,8 +267,17 @@ def _classed(docs: DataFrame, keep: list[str], radius: int, size: int) -> DataFr
 def representatives(docs: DataFrame, radius: int = 4, size: int = 4) -> DataFrame:
     """One row of each class, with all its columns: that with the smallest doc_id (NULL comes last), then
     with the least hash of all columns. Of rows that are equal throughout one stays."""
-    row = F.xxhash64(*[F.col(c) for c in docs.columns])
-    classed = _classed(docs.select("doc_id", "text", row.alias("row")), ["doc_id", "row"], radius, size)
+    classed = _classed(docs.select("doc_id", "text", row_hash(docs).alias("row")), ["doc_id", "row"], radius, size)
+    return firsts(docs, classed)
+
+
+def row_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(c) for c in docs.columns])
+
+
+def firsts(docs: DataFrame, classed: DataFrame) -> DataFrame:
+    """The first row of each class ``root`` of ``classed`` (``doc_id, row, root``, one row per row of ``docs``)."""
+    row = row_hash(docs)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first")
     kept = common.stored(classed.groupBy("root").agg(first).select(
         F.col("first.doc_id").alias("kept_id"), F.col("first.row").alias("kept_row")), "representatives")
