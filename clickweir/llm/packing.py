@@ -1,4 +1,5 @@
-"""Packing of token pieces into sequences of a fixed length by the linear grouping scheme.
+"""Packing of token pieces into sequences of a fixed length: best fit, longest first, after linear
+grouping has placed what it places well. On the given texts that is little (62 of 11 562 pieces; see README).
 
 1. Documents become token ids; those longer than a sequence are cut into full pieces.
 2. Pieces of at least ``1 / SMALL`` of a sequence are large. By falling length they are dealt into
