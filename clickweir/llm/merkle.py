@@ -18,22 +18,21 @@ LEAF = 48
 _SENTENCE = rf"[^.!?\n]{{1,{LEAF}}}[.!?\s]*|[.!?\s]+"
 
 
-def leaves(text: Column) -> Column:
-    """Hashes of the leaves of a text, in order; of an empty one none."""
-    return F.transform(F.regexp_extract_all(text, F.lit(_SENTENCE), F.lit(0)), lambda x: F.xxhash64(F.rtrim(x)))
-
-
 def sections(text: Column) -> Column:
-    """``array<struct<hash, paragraphs: array<string>>>``: the hash of each section and of its paragraphs."""
-    def section(part: Column) -> Column:
-        hashed = F.transform(F.split(part, "\n", -1), _paragraph)
-        return F.struct(_node("s", hashed).alias("hash"), hashed.alias("paragraphs"))
-    return F.transform(F.split(text, r"\n[ \t]*\n", -1), section)
+    """``array<struct<hash, paragraphs: array<struct<hash, leaves: array<string>>>>>``: the hashes of each
+    section, of its paragraphs and of their leaves."""
+    def paragraphs(part: Column) -> Column:
+        hashed = F.transform(F.split(part, "\n", -1), lambda line: F.transform(
+            F.regexp_extract_all(line, F.lit(_SENTENCE), F.lit(0)), lambda x: F.sha2(x, 256)))
+        return F.transform(hashed, lambda inner: F.struct(_node("p", inner).alias("hash"), inner.alias("leaves")))
+    parts = F.transform(F.split(text, r"\n[ \t]*\n", -1), paragraphs)
+    return F.transform(parts, lambda held: F.struct(
+        _node("s", F.transform(held, lambda p: p["hash"])).alias("hash"), held.alias("paragraphs")))
 
 
-def _paragraph(line: Column) -> Column:
-    inner = F.transform(F.regexp_extract_all(line, F.lit(_SENTENCE), F.lit(0)), lambda x: F.sha2(x, 256))
-    return _node("p", inner)
+def leaves(tree: Column) -> Column:
+    """Hashes of the leaves of a tree, in order; of that of an empty text none."""
+    return F.flatten(F.flatten(F.transform(tree, lambda s: F.transform(s["paragraphs"], lambda p: p["leaves"]))))
 
 
 def _node(kind: str, children: Column) -> Column:
@@ -54,15 +53,19 @@ def likeness(left: Column, right: Column) -> Column:
 
 
 def differing(left: Column, right: Column) -> Column:
-    """``array<struct<section, paragraph>>``: places (from 0) of the paragraphs of the right tree that the
-    left one does not have there. Sections of equal hash are not looked into."""
-    def in_section(s: Column, i: Column) -> Column:
-        other = F.get(left, i)
-        lines = F.transform(s["paragraphs"], lambda p, j: F.struct(
-            i.alias("section"), j.alias("paragraph"), (~p.eqNullSafe(F.get(other["paragraphs"], j))).alias("differs")))
+    """``array<struct<section, paragraph>>``: places (from 0) of the paragraphs that are not the same in both
+    trees, those that only one tree has included. Sections of equal hash are not looked into."""
+    def places(a: Column, b: Column) -> Column:
+        return F.sequence(F.lit(0), F.greatest(F.size(a), F.size(b), F.lit(1)) - 1)
+
+    def in_section(i: Column) -> Column:
+        mine, other = F.get(left, i), F.get(right, i)
+        lines = F.transform(places(mine["paragraphs"], other["paragraphs"]), lambda j: F.struct(
+            i.alias("section"), j.alias("paragraph"),
+            (~F.get(mine["paragraphs"], j)["hash"].eqNullSafe(F.get(other["paragraphs"], j)["hash"])).alias("differs")))
         kept = F.filter(lines, lambda x: x["differs"])
-        return F.when(s["hash"].eqNullSafe(other["hash"]), F.slice(kept, 1, 0)).otherwise(kept)
-    return F.flatten(F.transform(right, in_section))
+        return F.when(mine["hash"].eqNullSafe(other["hash"]), F.slice(kept, 1, 0)).otherwise(kept)
+    return F.flatten(F.transform(places(left, right), in_section))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -139,8 +142,9 @@ def compared(docs: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "text", "next_text", edited.alias("edited"), size.cast("long").alias("n_chars"))
     rows = rows.select(
         "doc_id", "n_chars", "edited", sections(F.col("text")).alias("tree"), sections(F.col("edited")).alias("edited_tree"),
-        leaves(F.col("text")).alias("own"), leaves(F.col("edited")).alias("theirs"), leaves(F.col("next_text")).alias("after"))
+        sections(F.col("next_text")).alias("next_tree"))
+    own = leaves(F.col("tree"))
     return rows.select(
         "doc_id", "n_chars", "edited", root(F.col("tree")).alias("fingerprint"), root(F.col("edited_tree")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("theirs")).alias("near_edited"), likeness(F.col("own"), F.col("after")).alias("near_next"),
+        likeness(own, leaves(F.col("edited_tree"))).alias("near_edited"), likeness(own, leaves(F.col("next_tree"))).alias("near_next"),
         differing(F.col("tree"), F.col("edited_tree")).alias("changed"))

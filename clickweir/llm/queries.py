@@ -109,7 +109,7 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op9_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.compared(table(prepared(spark), folder, "documents")).select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        "near_edited", "near_next")
+        "near_edited", "near_next", F.size("changed").cast("long").alias("n_changed"))
 
 
 def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,7 +3,7 @@ from hashlib import sha256
 import pytest
 from pyspark.sql import functions as F
 
-from clickweir.llm import merkle
+from clickweir.llm import merkle, queries
 
 
 @pytest.mark.parametrize("ids", [[], [5], list(range(-3, 40)), [1, 2, 3, 10**15, 10**15 + 1, 10**18], [i * i for i in range(90)]])
@@ -57,3 +57,13 @@ def test_tree_by_hand_and_branches(spark):
     trees = spark.createDataFrame([(text, other)], "a string, b string").select(
         merkle.differing(merkle.sections(F.col("a")), merkle.sections(F.col("b"))).alias("d")).first()["d"]
     assert [(x["section"], x["paragraph"]) for x in trees] == [(0, 1)]
+
+
+def test_deleted_ends_are_reported_and_counted(spark, tmp_path):
+    pairs = [("a.\nb.\nc.\n\nd.", "a.\nb.\n\nd."), ("a.\n\nb.\nc.", "a."), ("a.", "a.\n\nb."), ("a.", "a.")]
+    rows = spark.createDataFrame(pairs, "a string, b string").select(
+        merkle.differing(merkle.sections(F.col("a")), merkle.sections(F.col("b"))).alias("d")).collect()
+    assert [[(x["section"], x["paragraph"]) for x in r["d"]] for r in rows] == [[(0, 2)], [(1, 0), (1, 1)], [(1, 0)], []]
+    spark.createDataFrame([(1, "x.\ny.\nz.\nw."), (2, "x.\ny.\nq.\nr.")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["n_changed"] for r in queries.op9_document_fingerprints(spark, str(tmp_path)).collect()}
+    assert got == {1: 2, 2: 2}
