@@ -480,7 +480,7 @@ def statements() -> dict[str, str]:
         ORDER BY "timestamp" DESC, event_id LIMIT 100""", "v")
     profile = []
     numbers = {"amount": "double", "error_code": "int", "response_time_ms": "int", "status_code": "int"}
-    for name in (*_EVENT, "event_date"):
+    for name in _EVENT:
         kind = numbers.get(name, "timestamp" if name == "timestamp" else "string")
         quoted = f'"{name}"'
         numeric = name in numbers

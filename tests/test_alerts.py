@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import at, frame, silver_row
+from support import at, frame, silver_row
 from pyspark.sql import functions as F
 
 from clickweir import schemas

@@ -1,5 +1,5 @@
 import pytest
-from conftest import at, by
+from support import at, by
 
 from clickweir.operators import anomalies
 

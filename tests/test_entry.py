@@ -1,7 +1,7 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import pytest
-from conftest import TESTDATA
+from support import TESTDATA
 
 import __spark_entry__ as entry
 from checks.compare import database, difference

@@ -1,5 +1,5 @@
 import pytest
-from conftest import at, by
+from support import at, by
 from pyspark.sql import functions as F
 
 from clickweir.functions import events as fx

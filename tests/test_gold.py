@@ -1,5 +1,5 @@
 import pytest
-from conftest import at, by, frame, silver_row
+from support import at, by, frame, silver_row
 from pyspark.sql import functions as F
 
 from clickweir import schemas

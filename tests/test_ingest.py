@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import at, by, frame, raw_frame
+from support import at, by, frame, raw_frame
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from clickweir import schemas

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import TESTDATA
+from support import TESTDATA
 from pyspark.sql import functions as F
 
 from clickweir import schemas

@@ -4,7 +4,7 @@ import random
 from datetime import timedelta
 
 import pytest
-from conftest import at
+from support import at
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

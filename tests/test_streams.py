@@ -2,7 +2,6 @@ import json
 from datetime import timedelta
 
 import pytest
-from conftest import at
 from pyspark.sql import functions as F
 
 from clickweir import schemas
@@ -11,7 +10,7 @@ from clickweir.plans import bronze
 from clickweir.plans.config import Layout
 from clickweir.sources import clicks, raw, tables
 from clickweir.streaming import live
-from conftest import TESTDATA
+from support import TESTDATA, at
 
 HOUR = "1 hour"
 
