@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import chat, common, decontamination, language, merkle, packing, quality, secrets, simhash, toxicity, warc
+from clickweir.llm import chat, common, decontamination, language, merkle, packing, quality, secrets, simhash, toxicity, warc, windows
 from clickweir.llm.common import table
 from clickweir.sources.session import use_utc
 
@@ -24,30 +24,6 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
-    prepared(spark)
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    return secrets.findings(docs, *secrets.trained(docs)).select(
-        "doc_id", "ordinal", "kind", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "score")
-
-
-def op5_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
-    read = warc.archived(table(prepared(spark), folder, "pages"))
-    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-
-
-def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    prepared(spark)
-    return simhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
-
-
-def ranks_path() -> str:
-    """The byte-level vocabulary as ranks: the same ids as its tokenizer file."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
-
-
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     prepared(spark)
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -57,15 +33,6 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    rows = packing.packed_documents(docs, ranks_path())
-    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
-
-
-def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packed(table(prepared(spark), folder, "documents"))
-
-
 def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     prepared(spark)
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -90,10 +57,13 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    rows = packing.packed_documents(docs, ranks_path())
+    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    prepared(spark)
-    packed = packing.packed_documents(table(spark, folder, "documents"), ranks_path())
-    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packed(table(prepared(spark), folder, "documents"))
 
 
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -125,6 +95,16 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def words_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return windows.packed(table(prepared(spark), folder, "documents"), words_path()).drop("ids")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -143,6 +123,7 @@ def registered() -> dict:
         "op8_decontamination": op8_decontamination,
         "op9_document_fingerprints": op9_document_fingerprints,
         "op10_chat_formatting": op10_chat_formatting,
+        "op12_packing": op12_packing,
         "pipeline": pipeline,
     }
 
