@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import chat, common, decontamination, language, merkle, packing, quality, secrets, simhash, toxicity, warc, windows
+from clickweir.llm import chat, common, decontamination, language, merkle, packing, quality, runs, secrets, simhash, toxicity, warc, windows
 from clickweir.llm.common import table
 from clickweir.sources.session import use_utc
 
@@ -95,6 +97,21 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def periodic_end(doc_id: str | None, words: list[bytes]) -> list[bytes]:
+    """One document in ten ends in repetitions: from some word on, its words are those of a short stretch."""
+    crc = zlib.crc32(doc_id.encode()) if doc_id is not None else 1
+    if crc % 10 or not words:
+        return words
+    n, g = len(words), crc // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digests(table(prepared(spark), folder, "documents"), periodic_end)
+
+
 def words_path() -> str:
     import public_tokenizers
 
@@ -123,6 +140,7 @@ def registered() -> dict:
         "op8_decontamination": op8_decontamination,
         "op9_document_fingerprints": op9_document_fingerprints,
         "op10_chat_formatting": op10_chat_formatting,
+        "op11_periodic_runs": op11_periodic_runs,
         "op12_packing": op12_packing,
         "pipeline": pipeline,
     }
