@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import chat, common, decontamination, language, merkle, packing, quality, runs, secrets, simhash, toxicity, warc, windows
+from clickweir.llm import chat, common, decontamination, language, merkle, packing, phrases, quality, runs, secrets, simhash, toxicity, warc, windows
 from clickweir.llm.common import table
 from clickweir.sources.session import use_utc
 
@@ -122,6 +122,10 @@ def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     return windows.packed(table(prepared(spark), folder, "documents"), words_path()).drop("ids")
 
 
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(prepared(spark), folder, "documents")).drop("words")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -142,6 +146,7 @@ def registered() -> dict:
         "op10_chat_formatting": op10_chat_formatting,
         "op11_periodic_runs": op11_periodic_runs,
         "op12_packing": op12_packing,
+        "op13_phrase_collocations": op13_phrase_collocations,
         "pipeline": pipeline,
     }
 
@@ -153,7 +158,42 @@ def statements() -> dict[str, str]:
         f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr({digest}, {5 * g + 1}, 5))::BIGINT >> {s}) & 31)::INT + 1, 1)"
         for g in range(8) for s in (15, 10, 5, 0))
     mark = r"([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>|</?ROLE>>|<TEXT>>)"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return {
+        "op13_phrase_collocations": f"""
+            WITH pieces AS (
+                SELECT coalesce(lang, 'und') AS lang,
+                       unnest(string_split_regex(translate(coalesce(text, ''), '{upper}', '{lower}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+                FROM documents
+            ), words AS (
+                SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+            ), sizes AS (
+                SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+            ), counted AS (
+                SELECT lang, k, phrase, count(*) AS f FROM (
+                    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+                    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 6) AS t(k)))
+                GROUP BY ALL HAVING count(*) >= 100
+            ), cuts AS (
+                SELECT c.lang, c.phrase, c.f AS a, j, x.f AS l, y.f AS r, s.n,
+                       (1000::HUGEINT * c.f * s.n // (x.f::HUGEINT * y.f))::BIGINT AS score
+                FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS j FROM counted WHERE k > 1) c
+                JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j], ' ')
+                JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1:], ' ')
+                JOIN sizes s ON s.lang = c.lang
+            ), lowest AS (
+                SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+            ), inside AS (
+                SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS longer
+                FROM (SELECT *, unnest(range(1, k - m + 2)) AS i
+                      FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(2, k)) AS m FROM counted WHERE k > 2))
+                GROUP BY ALL
+            )
+            SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, encode(o.phrase)) AS rank,
+                   o.phrase, a, l, r, n, score
+            FROM lowest o LEFT JOIN inside i ON i.lang = o.lang AND i.phrase = o.phrase
+            WHERE longer IS NULL OR 100 * longer < 100 * a
+            QUALIFY rank <= 2000""",
         "op5_warc_revisits": f"""
             WITH headers AS (
                 SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, {letters} AS payload_digest
