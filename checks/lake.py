@@ -27,6 +27,21 @@ def visited(spark: SparkSession, folder: str) -> DataFrame:
     return table
 
 
+def visited_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same table as a stream, and one event of nobody in the year 2100, which closes all windows."""
+    table, path = _once(spark, folder, "visited", lambda: tables.staged(clicks.visited(spark, folder), "visited"))
+
+    def closing() -> str:
+        last = scratch_path(spark, "closing")
+        late = {"timestamp": "TIMESTAMP '2100-01-01 00:00:00'", "event_id": "'-1'", "event_type": "'none'"}
+        fields = [f"CAST({late.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in table.schema]
+        spark.range(1).selectExpr(*fields).write.parquet(last)
+        return last
+
+    streams = [spark.readStream.schema(table.schema).parquet(p) for p in (path, closing())]
+    return streams[0].unionByName(streams[1])
+
+
 def lines_folder(spark: SparkSession, folder: str) -> str:
     """The events as JSON line files."""
     rows = clicks.repeated(clicks.blemished(visited(spark, folder)))

@@ -291,6 +291,7 @@ def statements() -> dict[str, str]:
         event_number_in_session, round(quality_score, 6) AS quality_score, quality_flags"""
     load = f"{_NOW} AS processed_at, '1.0.0' AS silver_version"
     out["s6_silver_table"] = _sql(f"SELECT {silver_columns}, is_anomaly, anomaly_type, anomaly_score, {load} FROM sv", "sv")
+    out["t4_live_silver"] = out["s6_silver_table"]
     out["s7_quarantine_table"] = _sql(f"SELECT {silver_columns}, {load} FROM sc WHERE quality_score < 0.5", "sc")
     out["s8_gold_kpis_table"] = _sql(_kpis("sv", True), "sv", w=_windowed("sv", "1 HOUR", "1h", True))
     out["s8_gold_sessions_table"] = _sql(_sessions("sv", True), "sv")
@@ -357,7 +358,7 @@ def statements() -> dict[str, str]:
     out["a1_kpis_five_minutes"] = _sql(_kpis("b"), "b", w=_windowed("b", "5 MINUTE", "5m"))
     out["a1_kpis_estimated"] = _sql(
         """SELECT * EXCLUDE (unique_users, unique_sessions, bounce_rate), true AS unique_users_close,
-        true AS unique_sessions_close FROM kp""", "b",
+        true AS unique_sessions_close, CAST(round(bounce_rate * unique_sessions) AS BIGINT) AS bounced FROM kp""", "b",
         w=_windowed("b", "1 HOUR", "1h"), kp=_kpis("b"))
     out["a3_funnels_estimated"] = _sql(
         "SELECT window_start, funnel_step, event_count, true AS unique_users_close FROM steps", "v", steps=_steps("v"))
@@ -532,13 +533,22 @@ def statements() -> dict[str, str]:
     kpi_names = """window_start, window_end, window_duration, event_date, hour, total_events, page_views, clicks,
         add_to_carts, purchases, logins, errors, searches, avg_response_time_ms, p95_response_time_ms,
         max_response_time_ms, error_rate, purchase_rate, conversion_rate, revenue_total, revenue_avg, processed_at"""
+    rejoined = "CAST(round(bounce_rate * unique_sessions) AS BIGINT) AS bounced"
     out["t4_live_kpis"] = _sql(
-        f"SELECT {kpi_names}, true AS unique_users_close, true AS unique_sessions_close FROM kp", "v", w=hourly, kp=_kpis("v"))
-    slow = """SELECT *, response_time_ms > 15000 AS is_anomaly, 'slow_response' AS anomaly_type,
-        response_time_ms / 15000.0::DOUBLE AS anomaly_score FROM e"""
-    out["t4_live_anomaly_summary"] = _sql(
-        f"""SELECT * REPLACE (round(max_anomaly_score, 6) AS max_anomaly_score) FROM sm""",
-        "e", sl=slow, sm=_summary("sl"))
+        f"SELECT {kpi_names}, {rejoined}, true AS unique_users_close, true AS unique_sessions_close FROM kp", "v",
+        w=hourly, kp=_kpis("v"))
+    out["t4_live_kpis_sliding"] = _sql(
+        f"SELECT window_start, window_end, total_events, {rejoined} FROM kp", "v", q=_windowed("v", "15 MINUTE", "1h"),
+        w="""SELECT * REPLACE (win - i * INTERVAL 15 MINUTE AS win, win + INTERVAL 1 HOUR - i * INTERVAL 15 MINUTE AS win_end)
+            FROM q CROSS JOIN (SELECT unnest(range(0, 4)) AS i)""", kp=_kpis("v"))
+    # Every day is a batch of its own.
+    daily = {"dy": f"""SELECT *, {_bucket('24 HOUR')} AS day FROM v""", "dystats": _stats("dy"), "df": _flag("dy", "dystats")}
+    out["t4_live_flags"] = _sql("SELECT event_id, is_anomaly, anomaly_type, anomaly_score FROM df", "v", **daily)
+    out["d2_d4_flags_by_window"] = out["t4_live_flags"]
+    out["t4_live_anomaly_summary"] = _sql(_summary("df"), "v", **daily)
+    out["t4_live_funnels"] = out["a3_funnels_daily"]
+    out["t4_live_funnels_with_gap"] = _sql(f"""SELECT window_start, funnel_step, unique_users, conversion_to_next,
+        drop_off_count, drop_off_rate FROM ({_FUNNELS}) f""", "e", g=gaps, steps=_steps("g"))
     out["t4_live_dedup"] = _sql('SELECT event_id, "timestamp" FROM e', "e")
     unsessioned = _SCORE.replace("(session_id IS NULL OR trim(session_id) = '')::INT", "1")
     out["t4_live_scoring"] = _sql(f"SELECT event_id, traffic_source, round({unsessioned}, 6) AS quality_score FROM b", "b")

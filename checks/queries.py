@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from checks import lake
 from clickweir import schemas
 from clickweir.functions import events as fx
-from clickweir.functions.timing import tumbling, window_label, window_seconds
+from clickweir.functions.timing import DAY_SECONDS, tumbling, window_label, window_seconds
 from clickweir.operators import (
     alerts, anomalies, events, funnels, ingest, kpis, ordering, quantiles, rollups, sessions, summaries,
 )
 from clickweir.plans import bronze, gold, silver
+from clickweir.plans import live as live_plan
 from clickweir.plans.config import Layout
 from clickweir.sources import clicks, raw, tables
 from clickweir.sources.session import scratch_path, use_utc
@@ -98,6 +99,11 @@ def close(estimated, exact, keys, names, share=0.15):
     return estimated.join(other, keys, "left").withColumns(near).drop(*names, *[f"_{n}" for n in names])
 
 
+def bounced(df):
+    """The bounce rate turned back into sessions: it is taken over an estimated number, they are counted."""
+    return df.withColumn("bounced", F.round(F.col("bounce_rate") * F.col("unique_sessions")).cast("bigint")).drop("bounce_rate")
+
+
 def funnel_table(spark, folder):
     return funnels.funnels(visited(spark, folder), exact=True, as_of=NOW)
 
@@ -348,7 +354,7 @@ def a1_kpis_five_minutes(spark, folder):
 def a1_kpis_estimated(spark, folder):
     estimated = kpis.windowed_kpis(dirty(spark, folder), as_of=NOW)
     exact = kpis.windowed_kpis(dirty(spark, folder), exact=True, as_of=NOW)
-    return close(estimated, exact, ["window_start"], ["unique_users", "unique_sessions"]).drop("bounce_rate")
+    return close(bounced(estimated), exact, ["window_start"], ["unique_users", "unique_sessions"])
 
 
 @query
@@ -628,22 +634,53 @@ def t1_bronze_stream(spark, folder):
     return bronze_table(spark, layout)
 
 
+def closed(df):
+    """Without the window of the event that closes all others."""
+    return df.filter("window_start < '2090-01-01'")
+
+
 @query
 def t4_live_kpis(spark, folder):
-    live_ = lake.drain(live.live_kpis(clicks.stream(spark, folder, closing=True), as_of=NOW), "kpis")
-    exact = kpis.windowed_kpis(visited(spark, folder).withColumn("session_id", F.lit(None).cast("string")), exact=True, as_of=NOW)
-    return close(live_, exact, ["window_start"], ["unique_users", "unique_sessions"]).drop("bounce_rate")
+    rows = live.live_kpis(lake.visited_stream(spark, folder), as_of=NOW, gap_seconds=clicks.GAP_SECONDS)
+    exact = kpis.windowed_kpis(visited(spark, folder), exact=True, as_of=NOW)
+    return close(bounced(closed(lake.drain(rows, "kpis"))), exact, ["window_start"], ["unique_users", "unique_sessions"])
+
+
+@query
+def t4_live_kpis_sliding(spark, folder):
+    rows = live.live_kpis(
+        lake.visited_stream(spark, folder), slide_seconds=900, as_of=NOW, gap_seconds=clicks.GAP_SECONDS)
+    return closed(bounced(lake.drain(rows, "kpis"))).select("window_start", "window_end", "total_events", "bounced")
+
+
+@query
+def t4_live_flags(spark, folder):
+    rows = lake.drain(live.live_flags(lake.visited_stream(spark, folder), DAY_SECONDS), "flags")
+    return _flags(rows.filter("event_id <> '-1'"))
+
+
+@query
+def d2_d4_flags_by_window(spark, folder):
+    return _flags(anomalies.flag_windows(visited(spark, folder), DAY_SECONDS))
 
 
 @query
 def t4_live_anomaly_summary(spark, folder):
-    slow = F.col("response_time_ms") > 15000
-    rows = clicks.stream(spark, folder, closing=True).withColumns({
-        "is_anomaly": slow,
-        "anomaly_type": F.when(slow, "slow_response"),
-        "anomaly_score": F.when(slow, F.col("response_time_ms") / 15000.0),
-    })
-    return lake.drain(live.live_anomaly_summary(rows, as_of=NOW), "summary")
+    flagged_ = live.live_flags(lake.visited_stream(spark, folder), DAY_SECONDS)
+    return lake.drain(live.live_anomaly_summary(flagged_, delay=None, as_of=NOW), "summary")
+
+
+@query
+def t4_live_funnels(spark, folder):
+    return lake.drain(live.live_funnels(lake.visited_stream(spark, folder), as_of=NOW), "funnels")
+
+
+@query
+def t4_live_funnels_with_gap(spark, folder):
+    late = (F.col("event_type") == "click") & (F.col("event_date") >= "2024-01-10")
+    rows = lake.visited_stream(spark, folder).withColumn("event_type", F.when(late, "error").otherwise(F.col("event_type")))
+    return lake.drain(live.live_funnels(rows, as_of=NOW), "funnels").select(
+        "window_start", "funnel_step", "unique_users", "conversion_to_next", "drop_off_count", "drop_off_rate")
 
 
 @query
@@ -664,6 +701,22 @@ def t4_live_visits(spark, folder):
     return lake.drain(live.live_visits(clicks.stream(spark, folder, closing=True), clicks.GAP_SECONDS), "visits")
 
 
+def live_lake(spark, folder):
+    """Bronze in three parts, the last of which has late rows of the first dates, with live silver after each."""
+    bronze_of = bronze_table(spark, lake.bronze_lake(spark, folder))
+    layout = Layout(scratch_path(spark, "live"))
+    part = F.when(F.pmod(F.xxhash64("event_id"), F.lit(10)) == 0, 2).when(F.col("event_date") < "2024-01-16", 0).otherwise(1)
+    for n in range(3):
+        tables.append_batch(bronze_of.filter(part == n), layout.bronze, bronze.BRONZE_PARTITIONS, f"part-{n}")
+        live_plan.start_silver(spark, layout, trigger={"availableNow": True}, as_of=NOW).awaitTermination()
+    return layout
+
+
+@query
+def t4_live_silver(spark, folder):
+    return tables.read_table(spark, live_lake(spark, folder).silver, schemas.SILVER_EVENT)
+
+
 # ---------------------------------------------------------------- jobs
 
 

@@ -9,9 +9,7 @@ from clickweir import settings
 from clickweir.functions.timing import tumbling
 
 
-def batch_stats(df: DataFrame, per_day: bool = False) -> DataFrame:
-    """Size, error rate, response-time mean and sample deviation: one row, or one per day."""
-    grouped = df.groupBy("event_date") if per_day else df.groupBy()
+def _stats_of(grouped) -> DataFrame:
     return grouped.agg(
         F.count(F.lit(1)).alias("_rows"),
         F.try_divide(F.count_if(F.col("event_type") == "error"), F.count(F.lit(1))).alias("_error_rate"),
@@ -20,6 +18,16 @@ def batch_stats(df: DataFrame, per_day: bool = False) -> DataFrame:
     ).withColumn("_rt_dev", F.when(F.col("_rt_dev") > 0, F.col("_rt_dev")).otherwise(1.0))
 
 
+def batch_stats(df: DataFrame, per_day: bool = False) -> DataFrame:
+    """Size, error rate, response-time mean and sample deviation: one row, or one per day."""
+    return _stats_of(df.groupBy("event_date") if per_day else df.groupBy())
+
+
+def window_stats(df: DataFrame, window_seconds: int) -> DataFrame:
+    """The same per event-time window ``_window``; on a stream with a watermark, of closed windows."""
+    return _stats_of(df.groupBy(tumbling("timestamp", window_seconds).alias("_window")))
+
+
 def no_anomalies(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
@@ -44,7 +52,27 @@ def flag_anomalies(
     """
     stats = F.broadcast(batch_stats(df, per_day))
     joined = df.join(stats, "event_date", "left") if per_day else df.crossJoin(stats)
+    return judged(joined, df.columns, min_samples, error_rate_threshold, slow_response_z)
+
 
+def flag_windows(
+    df: DataFrame,
+    window_seconds: int = 3600,
+    min_samples: int = settings.MIN_SAMPLES,
+    error_rate_threshold: float = settings.ERROR_RATE_THRESHOLD,
+    slow_response_z: float = settings.SLOW_RESPONSE_Z,
+) -> DataFrame:
+    """As ``flag_anomalies``, with each event-time window as a batch of its own. Rows without a time are not
+    flagged. The join is left to measured sizes: windows may be many."""
+    windowed = df.withColumn("_window", tumbling("timestamp", window_seconds))
+    joined = windowed.join(window_stats(df, window_seconds), "_window", "left")
+    return judged(joined, df.columns, min_samples, error_rate_threshold, slow_response_z)
+
+
+def judged(
+    joined: DataFrame, columns: list[str], min_samples: int, error_rate_threshold: float, slow_response_z: float
+) -> DataFrame:
+    """``columns`` of events that stand beside the statistics of their batch, and the three anomaly columns."""
     z = (F.col("response_time_ms") - F.col("_rt_mean")) / F.col("_rt_dev")
     enough = F.coalesce(F.col("_rows") >= min_samples, F.lit(False))
     spike = enough & (F.col("event_type") == "error") & (F.col("_error_rate") > error_rate_threshold)
@@ -61,7 +89,7 @@ def flag_anomalies(
             F.when(F.col("anomaly_type") == "error_rate_spike", spike_score)
             .when(F.col("anomaly_type") == "slow_response", slow_score),
         )
-        .select(*df.columns, "is_anomaly", "anomaly_type", "anomaly_score")
+        .select(*columns, "is_anomaly", "anomaly_type", "anomaly_score")
     )
 
 

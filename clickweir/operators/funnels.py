@@ -45,11 +45,16 @@ def funnels(
     successor has no events in the window gets NULLs, as the last one does."""
     in_window = Window.partitionBy("window_start").orderBy("step_order")
     follows = F.lead("step_order").over(in_window) == F.col("step_order") + 1
+    counted = step_counts(df, window_seconds, steps, exact)
+    return finish_funnels(
+        counted.withColumn("_next", F.when(follows, F.lead("unique_users").over(in_window))), window_seconds, as_of)
+
+
+def finish_funnels(counted: DataFrame, window_seconds: int, as_of=None) -> DataFrame:
+    """Conversion and labels over the counts of a step, its window, and the users of the ``_next`` step."""
     users = F.col("unique_users")
     return conform(
-        step_counts(df, window_seconds, steps, exact)
-        .withColumn("_next", F.when(follows, F.lead("unique_users").over(in_window)))
-        .withColumns(
+        counted.withColumns(
             {
                 "conversion_to_next": F.round(F.when(users > 0, F.col("_next") / users), 4),
                 "drop_off_count": users - F.col("_next"),

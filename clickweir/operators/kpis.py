@@ -62,11 +62,8 @@ def _per_window(df: DataFrame, window_seconds: int, slide_seconds: int | None, m
     )
 
 
-def window_measures(
-    df: DataFrame, window_seconds: int, slide_seconds: int | None = None, exact: bool = False
-) -> DataFrame:
-    """Counts, distinct counts, response times and revenue per window. When not ``exact`` it is one
-    aggregation, which also runs on a watermarked stream."""
+def measures_of(exact: bool) -> tuple[list, list]:
+    """The aggregates of a window: plain ones, and distinct counts."""
     purchase_amount = F.when(F.col("event_type") == "purchase", F.col("amount"))
     revenue = F.when(F.col("event_type") == "purchase", F.col("amount")).otherwise(0.0)
     measures = [
@@ -77,7 +74,15 @@ def window_measures(
         F.sum(revenue).alias("revenue_total"),
         F.avg(purchase_amount).alias("revenue_avg"),
     ]
-    distincts = [distinct("user_id", exact).alias("unique_users"), distinct("session_id", exact).alias("unique_sessions")]
+    return measures, [distinct("user_id", exact).alias("unique_users"), distinct("session_id", exact).alias("unique_sessions")]
+
+
+def window_measures(
+    df: DataFrame, window_seconds: int, slide_seconds: int | None = None, exact: bool = False
+) -> DataFrame:
+    """Counts, distinct counts, response times and revenue per window. When not ``exact`` it is one
+    aggregation, which also runs on a watermarked stream."""
+    measures, distincts = measures_of(exact)
     if not exact:
         return _per_window(df, window_seconds, slide_seconds, measures + distincts)
     # Exact distinct counts keep one row per window and id until the end. They go on their own, so

@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit`` entry for the bronze, silver and gold jobs."""
+"""Command line: ``spark-submit`` entry for the bronze, silver, gold and live jobs."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from clickweir.plans import bronze, gold, silver
+from clickweir.plans import bronze, gold, live, silver
 from clickweir.plans.config import Layout
 from clickweir.sources import raw
 
@@ -40,6 +40,12 @@ def _arguments(argv=None) -> argparse.Namespace:
     refine.add_argument("--alert-format", default="json", help="format of the alert sink; kafka sends messages")
     refine.add_argument("--alert-option", action="append", default=[], metavar="NAME=VALUE", help="option of the alert sink")
 
+    follow = jobs.add_parser("live", help="keep silver and gold in step with bronze")
+    follow.add_argument("--trigger-interval", default="1 minute")
+    follow.add_argument("--available-now", action="store_true", help="stop when all that is there is done")
+    follow.add_argument("--with-gold", action="store_true")
+    follow.add_argument("--skip-anomalies", action="store_true")
+
     roll = jobs.add_parser("gold", help="silver to gold")
     dated(roll)
     roll.add_argument("--mode", choices=[*gold.MODES, "all"], default="all")
@@ -61,6 +67,11 @@ def main(argv=None) -> dict | None:
             spark, args.kafka_servers, args.topic)
         bronze.start_stream(source, layout, trigger={"processingTime": args.trigger_interval}).awaitTermination()
         return None
+    if args.job == "live":
+        trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger_interval}
+        live.start_silver(
+            spark, layout, trigger=trigger, with_gold=args.with_gold, skip_anomalies=args.skip_anomalies).awaitTermination()
+        return None
     if args.job == "bronze":
         stats = bronze.run_batch(spark, layout, args.input, json_array=args.json_array)
     else:

@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickweir import schemas
-from clickweir.operators import kpis, ordering, summaries
-from clickweir.plans import bronze
+from clickweir.operators import anomalies, funnels, kpis, ordering, summaries
+from clickweir.plans import bronze, gold, silver
+from clickweir.plans import live as live_plan
 from clickweir.plans.config import Layout
 from clickweir.sources import clicks, raw, tables
 from clickweir.streaming import live
@@ -44,6 +45,116 @@ def three_files(spark, tmp_path_factory):
     return sessioned, stream
 
 
+def closed(df):
+    return df.filter("event_id <> 'last'" if "event_id" in df.columns else "window_start < '2024-06-01'")
+
+
+def test_live_flags_equal_batch(spark, three_files, tmp_path):
+    """Each event waits for its window; the day of the last event of a file goes on in the next one."""
+    batch, stream = three_files
+    got = closed(drain(live.live_flags(stream(), 86400), tmp_path))
+    want = anomalies.flag_windows(batch, 86400)
+    assert same(got.select(want.columns), want) and got.filter("is_anomaly").count() > 20
+
+
+def test_flags_and_their_summary_in_one_query(spark, three_files, tmp_path):
+    batch, stream = three_files
+    flagged = live.live_flags(stream(), 86400)
+    got = drain(live.live_anomaly_summary(flagged, delay=None, as_of=clicks.AS_OF), tmp_path)
+    want = summaries.anomaly_summary(anomalies.flag_windows(batch, 86400), as_of=clicks.AS_OF)
+    assert same(got, want) and want.count() > 20
+
+
+@pytest.mark.parametrize("slide", [None, 900])
+def test_live_bounce_rate_equals_batch(spark, three_files, tmp_path, slide):
+    batch, stream = three_files
+    rows = live.live_kpis(stream(), slide_seconds=slide, as_of=clicks.AS_OF, gap_seconds=clicks.GAP_SECONDS)
+    want = kpis.windowed_kpis(batch, slide_seconds=slide, as_of=clicks.AS_OF)
+    assert same(closed(drain(rows, tmp_path)).select(want.columns), want)
+    assert want.filter("bounce_rate > 0").count() > 100
+
+
+@pytest.mark.parametrize("gap", [False, True])
+def test_live_funnels_equal_batch(spark, three_files, tmp_path, gap):
+    """Exact users; with the gap some windows lack a step between two others."""
+    batch, stream = three_files
+
+    def rows(df):
+        late = F.lit(gap) & (F.col("event_type") == "click") & (F.col("event_date") >= "2024-01-10")
+        return df.withColumn("event_type", F.when(late, "error").otherwise(F.col("event_type")))
+
+    got = closed(drain(live.live_funnels(rows(stream()), as_of=clicks.AS_OF), tmp_path))
+    want = funnels.funnels(rows(batch), exact=True, as_of=clicks.AS_OF)
+    assert same(got.select(want.columns), want)
+    assert (want.filter("funnel_step = 'page_view' AND conversion_to_next IS NULL").count() > 0) == gap
+
+
+def test_funnel_counts_events_without_a_user(spark, tmp_path):
+    start = at("2024-01-01")
+    rows = [("a", None, "page_view", start), ("b", "u", "page_view", start), ("c", "u", "page_view", start),
+            ("d", None, "click", start), ("z", None, "logout", at("2024-02-01"))]
+    schema = "event_id string, user_id string, event_type string, timestamp timestamp"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in")
+    got = drain(live.live_funnels(spark.readStream.schema(schema).parquet(f"{tmp_path}/in")), tmp_path)
+    names = ["funnel_step", "unique_users", "event_count", "conversion_to_next"]
+    assert sorted(map(tuple, got.select(names).collect())) == [("click", 0, 1, None), ("page_view", 1, 3, 0.0)]
+
+
+def test_spans():
+    assert live_plan.spans([]) == []
+    assert live_plan.spans(["2024-03-01", "2024-02-28", "2024-02-29", "2024-01-01", "2024-03-01"]) == [
+        ("2024-01-01", "2024-01-01"), ("2024-02-28", "2024-03-01")]
+
+
+def test_live_silver_with_late_rows_and_replay(spark, tmp_path):
+    """Three bronze batches, the last with late rows: silver, quarantine and gold end as the batch jobs leave
+    them, other dates are not written again, and a replayed epoch changes nothing."""
+    layout, whole = Layout(str(tmp_path / "live")), Layout(str(tmp_path / "whole"))
+    rows = clicks.blemished(clicks.visited(spark, TESTDATA)).filter("event_date < '2024-01-09'")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(7)) == 0
+    early, last = F.col("event_date") < "2024-01-04", F.col("event_date").isin("2024-01-02", "2024-01-08")
+    parts = [~(late & last) & early, ~(late & last) & ~early, late & last]
+
+    def files(name):
+        found = (tmp_path / "live" / name).rglob("*.parquet")
+        return {f"{f.parent.name}/{f.name}" for f in found if f.parent.name.startswith("event_date")}
+
+    def run():
+        live_plan.start_silver(spark, layout, trigger={"availableNow": True}, as_of=clicks.AS_OF, with_gold=True).awaitTermination()
+
+    for n, part in enumerate(parts):
+        for table in (layout, whole):
+            tables.append_batch(schemas.conform(rows.filter(part), schemas.CLEAN_EVENT), table.bronze, bronze.BRONZE_PARTITIONS, str(n))
+        before = files("silver/events_clean")
+        run()
+        touched = {f.split("/")[0] for f in files("silver/events_clean") ^ before}
+        if n == 2:
+            assert touched == {"event_date=2024-01-02", "event_date=2024-01-08"}
+    dates = {"start": "2024-01-01", "end": "2024-01-08", "as_of": clicks.AS_OF}
+    silver.run(spark, whole, **dates)
+    gold.run_all(spark, whole, **dates)
+
+    def check():
+        for name, schema in (("silver", schemas.SILVER_EVENT), ("quarantine", schemas.QUARANTINE), ("kpis", schemas.KPI),
+                             ("sessions", schemas.SESSION), ("funnels", schemas.FUNNEL), ("anomalies", schemas.ANOMALY_SUMMARY)):
+            got, want = (tables.read_table(spark, getattr(table, name), schema) for table in (layout, whole))
+            assert same(got, want), name
+
+    check()
+    commits = sorted((tmp_path / "live" / "checkpoints" / "silver_live" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    for entry in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        entry.unlink(missing_ok=True)
+    run()
+    check()
+
+
+def test_an_epoch_keeps_its_clock(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    first = live_plan.moment_of(spark, layout, "q", 3)
+    assert live_plan.moment_of(spark, layout, "q", 3) == first != live_plan.moment_of(spark, layout, "q", 4)
+    assert live_plan.moment_of(spark, layout, "q", 3, clicks.AS_OF) == clicks.AS_OF
+
+
 def same(a, b):
     return sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
