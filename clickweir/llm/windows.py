@@ -5,7 +5,8 @@ The stream of a task is the ids of its documents one after the other, each follo
 window may end where a document ends (free), where a sentence ends (``SENTENCE`` tokens of penalty),
 or, so that long stretches without either can be cut, at every ``STEP``-th token in between (``ANYWHERE``).
 A window of ``n`` ids costs the padding up to ``capacity``, none where ``n`` is a power of two, and
-``OVERHEAD``. The least cost up to a cut at ``p`` is then
+``OVERHEAD``. (Powers below an eighth of ``capacity`` are taken at the end of a stream only, where they
+hold its rest; elsewhere they would just make many sequences.) The least cost up to a cut at ``p`` is then
 
     cost(p) = penalty(p) + OVERHEAD + min over cuts q in [p - capacity, p) of cost(q) + capacity - (p - q)
 
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from clickweir.llm.words import Vocabulary, split
+from clickweir.llm.words import Growing, Vocabulary, split
 
 SENTENCE = 16
 ANYWHERE = 64
@@ -50,20 +51,21 @@ OVERHEAD = 256
 STEP = 64
 STRETCH = 256
 HELD = 8
-_REMEMBERED = 1 << 20
+_REMEMBERED = 3 << 19
 
 
 # ---------------------------------------------------------------- cuts
 
 
-def best_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int, overhead: int = OVERHEAD) -> np.ndarray:
+def best_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int, overhead: int = OVERHEAD, least: int = 1) -> np.ndarray:
     """The cuts of least cost among ``places`` (ascending, the last is the end, no two neighbours further
-    apart than ``capacity``), the end included. The stream begins at 0, which is not listed."""
+    apart than ``capacity``), the end included. The stream begins at 0, which is not listed. Windows of
+    ``least`` ids or more may go without padding, if they are a power of two."""
     at = np.concatenate([[0], places]).astype(np.int64)
     index = np.full(int(at[-1]) + 1, -1, dtype=np.int64)
     index[at] = np.arange(len(at))
     froms, tos = [], []
-    power = 1
+    power = 1 << max(0, least - 1).bit_length()
     while power < capacity:
         back = at - power
         found = np.flatnonzero(back >= 0)
@@ -104,12 +106,18 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int, overhead
     return np.array(cuts[::-1], dtype=np.int64)
 
 
+def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The distinct numbers of two arrays, ascending."""
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    return both[np.concatenate([[True], both[1:] != both[:-1]])]
+
+
 def allowed(ends: np.ndarray, sentences: np.ndarray, capacity: int, last: bool) -> tuple[np.ndarray, np.ndarray]:
     """Where a stream may be cut, and the penalties: at the ``ends`` of documents (ascending, the last
     is that of the stream), at ``sentences`` (ascending), and evenly where these leave long gaps. The
     ``last`` stretch may also be cut so that its rest falls into powers of two."""
     total = int(ends[-1])
-    marks = np.union1d(ends, sentences)
+    marks = merged(ends, sentences)
     before = np.concatenate([[0], marks[:-1]])
     step = min(STEP, capacity)
     many = np.maximum(marks - before - 1, 0) // step
@@ -120,7 +128,7 @@ def allowed(ends: np.ndarray, sentences: np.ndarray, capacity: int, last: bool)
         powers = 1 << np.arange(int(capacity).bit_length())
         more = np.concatenate([more, total - total % powers])
         more = more[more > 0]
-    places = np.union1d(marks, more)
+    places = merged(marks, more)
     penalties = np.full(len(places), ANYWHERE, dtype=np.int64)
     penalties[np.searchsorted(places, sentences)] = SENTENCE
     penalties[np.searchsorted(places, ends)] = 0
@@ -130,13 +138,17 @@ def allowed(ends: np.ndarray, sentences: np.ndarray, capacity: int, last: bool)
 # ---------------------------------------------------------------- tokens
 
 
-# Letters whose small form is one letter too, and marks that may follow.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ſ]+)([.,;:!?]*)")
+# Small letters that the tokenizer's normaliser leaves as one letter each, and marks that may follow.
+_LETTERS = "[a-zß-öø-įı-ſ]+"
+_PLAIN = re.compile(f"({_LETTERS})([.,;:!?]*)")
 
 
 class Encoder:
     """Token ids of texts, by a tokenizer that sees nothing across ASCII white space, and for which a run
-    of letters is one word in any case, and marks after it are another."""
+    of letters is one word in any case, and marks after it are another.
+
+    Stretches without white space are numbered as they are met. Each is two atoms, letters and marks, or
+    the stretch as it is and nothing; each atom is encoded once."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -148,57 +160,65 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.seen, self.known = Vocabulary(), 0
-        self.parts: dict[str, tuple] = {}
-        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.stretches, self.atoms = Vocabulary(), Vocabulary()
+        self.first, self.second = Growing(np.int32), Growing(np.int32)  # the atoms of each stretch
+        self.begin, self.size, self.ids = Growing(np.int64), Growing(np.int64), Growing(np.uint32)  # of each atom
+        self.atoms[""]  # number 0
+        self._encode_atoms(self.atoms.words)
 
     def encode(self, texts: list[str | None], separator: int) -> list[np.ndarray]:
         """The ids of each text and the separator."""
-        if self.known > _REMEMBERED:
+        if self.first.used > _REMEMBERED:
             self.forget()
-        numbers = [self.seen.numbers(split(text)) for text in texts]
-        if len(self.seen.words) > self.known:
-            found = self._found(self.seen.words[self.known:])
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(sizes) - sizes])
-            self.size = np.concatenate([self.size, sizes])
-            flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-            self.ids = np.concatenate([self.ids, flat])
-            self.known = len(self.seen.words)
-        return [np.append(self._joined(n), np.uint32(separator)) for n in numbers]
-
-    def _ids(self, text: str) -> tuple:
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _found(self, new: list[bytes]) -> list[tuple]:
-        texts = [word.decode() for word in new]
-        plain = [_PLAIN.fullmatch(text) for text in texts]
-        letters = list({m[1].lower() for m in plain if m} - self.parts.keys())
-        for i in range(0, len(letters), 4096):
-            some = letters[i: i + 4096]
-            ids = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
-            stops = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
-            for word, a, b in zip(some, [0, *stops], stops):
-                self.parts[word] = tuple(ids[a:b])
-        out = []
-        for text, m in zip(texts, plain):
-            if m is None:
-                out.append(self._ids(text))
-                continue
-            ids, marks = self.parts[m[1].lower()], m[2]
-            if marks:
-                if marks not in self.parts:
-                    self.parts[marks] = self._ids(marks)
-                ids = ids + self.parts[marks]
-            out.append(ids)
-        return out
-
-    def _joined(self, numbers: np.ndarray) -> np.ndarray:
-        sizes = self.size[numbers]
+        numbers = [self.stretches.numbers(split(text)) for text in texts]
+        if len(self.stretches.words) > self.first.used:
+            self._learn(self.stretches.words[self.first.used:])
+        return [self._joined(n, separator) for n in numbers]
+
+    def _learn(self, new: list[bytes]) -> None:
+        known, atoms = len(self.atoms.words), self.atoms
+        text = b"\n".join(new).decode()
+        first, second = [], []
+        for small, given in zip(text.lower().split("\n"), text.split("\n")):
+            plain = _PLAIN.fullmatch(small)
+            word, marks = plain.groups() if plain else (given, "")
+            first.append(atoms[word])
+            second.append(atoms[marks])
+        self.first.extend(first)
+        self.second.extend(second)
+        self._encode_atoms(atoms.words[known:])
+
+    def _encode_atoms(self, new: list[str]) -> None:
+        letters, others = [], []
+        for i, atom in enumerate(new):
+            (letters if re.fullmatch(_LETTERS, atom) else others).append(i)
+        begin, size = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        for a in range(0, len(letters), 4096):
+            some = letters[a: a + 4096]
+            joined = " ".join([new[i] for i in some])
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            stops = np.flatnonzero(self.ends_word[ids]) + 1
+            size[some] = np.diff(stops, prepend=0)
+            begin[some] = self.ids.used + stops - size[some]
+            self.ids.extend(ids)
+        for a in range(0, len(others), 1024):
+            some = others[a: a + 1024]
+            found = self.tokenizer.encode(" ".join([new[i] for i in some]), add_special_tokens=False)
+            # Tokens belong to the atom in which they begin.
+            ends = np.cumsum([len(new[i]) + 1 for i in some])
+            size[some] = np.bincount(np.searchsorted(ends, [b for b, _ in found.offsets], "right"), minlength=len(some))
+            begin[some] = self.ids.used + np.cumsum(size[some]) - size[some]
+            self.ids.extend(np.array(found.ids, dtype=np.uint32))
+        self.begin.extend(begin)
+        self.size.extend(size)
+
+    def _joined(self, numbers: np.ndarray, separator: int) -> np.ndarray:
+        atoms = np.stack([self.first.values[numbers], self.second.values[numbers]], axis=1).ravel()
+        atoms = atoms[atoms > 0]
+        sizes = self.size.values[atoms]
         stops = np.cumsum(sizes)
-        shift = np.repeat(self.begin[numbers] - (stops - sizes), sizes)
-        return self.ids[shift + np.arange(len(shift))]
+        shift = np.repeat(self.begin.values[atoms] - (stops - sizes), sizes)
+        return np.append(self.ids.values[shift + np.arange(len(shift))], np.uint32(separator))
 
 
 @lru_cache(maxsize=1)
@@ -231,13 +251,14 @@ class Stream:
         begins = np.concatenate([[0], ends[:-1]])
         flat = np.concatenate([ids[n:] for _, ids, n in self.docs]).astype("<u4")
         sentences = np.flatnonzero(self.ends_sentence[flat]) + 1
-        cuts = best_cuts(*allowed(ends, sentences, self.capacity, last), self.capacity)
+        least = 1 if last else self.capacity // 8
+        cuts = best_cuts(*allowed(ends, sentences, self.capacity, last), self.capacity, least=least)
         if not last:
             cuts = cuts[cuts <= self.open - HELD * self.capacity]
             if not len(cuts):
                 return []
         until = int(cuts[-1])
-        stops = np.union1d(ends[ends <= until], cuts)
+        stops = merged(ends[ends <= until], cuts)
         starts = np.concatenate([[0], stops[:-1]])
         doc, window = np.searchsorted(ends, starts, "right"), np.searchsorted(cuts, starts, "right")
         window_begin = np.concatenate([[0], cuts])[window]

@@ -18,19 +18,20 @@ def padding(length, capacity):
     return 0 if length & (length - 1) == 0 else capacity - length
 
 
-def least_cost(places, penalties, capacity, overhead):
+def least_cost(places, penalties, capacity, overhead, least):
     """The least cost of all choices of cuts, each tried."""
     at, cost = [0, *places], {0: 0}
     for p, extra in zip(places, penalties):
-        cost[p] = min(cost[q] + padding(p - q, capacity) for q in at if p - capacity <= q < p) + extra + overhead
+        cost[p] = min(
+            cost[q] + (padding(p - q, capacity) if p - q >= least else capacity - (p - q)) for q in at if p - capacity <= q < p) + extra + overhead
     return cost[places[-1]]
 
 
-def cost_of(cuts, places, penalties, capacity, overhead):
+def cost_of(cuts, places, penalties, capacity, overhead, least):
     charged = dict(zip(places, penalties))
     lengths = np.diff([0, *cuts])
     assert lengths.max() <= capacity and set(cuts) <= set(places) and cuts[-1] == places[-1]
-    return sum(padding(int(n), capacity) for n in lengths) + sum(charged[c] + overhead for c in cuts)
+    return sum(padding(int(n), capacity) if n >= least else capacity - int(n) for n in lengths) + sum(charged[c] + overhead for c in cuts)
 
 
 def test_cuts_are_the_best_ones():
@@ -40,8 +41,9 @@ def test_cuts_are_the_best_ones():
         gaps = [pick.randint(1, capacity) for _ in range(pick.randint(1, 40))]
         places = np.cumsum(gaps)
         penalties = np.array([pick.choice([0, 2, 9]) for _ in gaps])
-        cuts = windows.best_cuts(places, penalties, capacity, overhead).tolist()
-        args = places.tolist(), penalties.tolist(), capacity, overhead
+        least = pick.choice([1, 1, 3, capacity // 2])
+        cuts = windows.best_cuts(places, penalties, capacity, overhead, least).tolist()
+        args = places.tolist(), penalties.tolist(), capacity, overhead, least
         assert cost_of(cuts, *args) == least_cost(*args)
 
 
