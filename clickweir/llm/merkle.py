@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 from clickweir.llm import common
 
 LEAF = 48
+_GAP = r"\n[ \t]*\n"
 _SENTENCE = rf"[^.!?\n]{{1,{LEAF}}}[.!?\s]*|[.!?\s]+"
 
 
@@ -25,9 +26,13 @@ def sections(text: Column) -> Column:
         hashed = F.transform(F.split(part, "\n", -1), lambda line: F.transform(
             F.regexp_extract_all(line, F.lit(_SENTENCE), F.lit(0)), lambda x: F.sha2(x, 256)))
         return F.transform(hashed, lambda inner: F.struct(_node("p", inner).alias("hash"), inner.alias("leaves")))
-    parts = F.transform(F.split(text, r"\n[ \t]*\n", -1), paragraphs)
-    return F.transform(parts, lambda held: F.struct(
-        _node("s", F.transform(held, lambda p: p["hash"])).alias("hash"), held.alias("paragraphs")))
+    gaps = F.regexp_extract_all(text, F.lit(_GAP), F.lit(0))
+    parts = F.arrays_zip(
+        F.transform(F.split(text, _GAP, -1), paragraphs).alias("held"), F.concat(gaps, F.array(F.lit(""))).alias("gap"))
+    # White space in the blank line after a section is part of its hash, so nothing of the text is in no hash.
+    return F.transform(parts, lambda x: F.struct(
+        _node("s", F.concat(F.transform(x["held"], lambda p: p["hash"]), F.filter(F.array(x["gap"]), lambda g: F.length(g) > 2))).alias("hash"),
+        x["held"].alias("paragraphs")))
 
 
 def leaves(tree: Column) -> Column:

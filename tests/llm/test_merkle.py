@@ -1,3 +1,4 @@
+import random
 from hashlib import sha256
 
 import pytest
@@ -67,3 +68,12 @@ def test_deleted_ends_are_reported_and_counted(spark, tmp_path):
     spark.createDataFrame([(1, "x.\ny.\nz.\nw."), (2, "x.\ny.\nq.\nr.")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: r["n_changed"] for r in queries.op9_document_fingerprints(spark, str(tmp_path)).collect()}
     assert got == {1: 2, 2: 2}
+
+
+def test_roots_are_equal_for_equal_texts_only(spark):
+    pick = random.Random(8)
+    texts = {"".join(pick.choices("ab. \n\n\t", k=pick.randint(0, 14))) for _ in range(10_000)}
+    texts |= {"a b.\n\nc d.", "a b.\n \nc d.", "a b.\n\t\t\nc d.", "a b.\n\n\nc d.", "\n \n", "\n\t\n", "\n\n"}
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(sorted(texts))], "doc_id long, text string")
+    found = merkle.fingerprints(rows.union(rows)).select("doc_id", "fingerprint").distinct()
+    assert found.count() == len(texts) == found.select("fingerprint").distinct().count()
