@@ -87,8 +87,10 @@ def candidates(text: Column, triples: list[str], path: Column | None = None) ->
         classes = F.translate(value, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=", "A" * 26 + "a" * 26 + "0" * 10 + "_" * 5)
         runs = F.length(F.regexp_replace(classes, r"(.)\1*", "$1"))
         lower = F.lower(value)
-        places = F.sequence(F.lit(1), size - 2)
-        known = F.size(F.filter(places, lambda k: F.substring(lower, k, F.lit(3)).isin(triples))) if triples else F.lit(0)
+        # All triples: those that begin at every third letter from the first, the second and the third on.
+        known = sum((F.size(F.filter(
+            F.regexp_extract_all(F.substring(lower, k, 1 << 30), F.lit("(?s)..."), F.lit(0)), lambda t: t.isin(triples)))
+            for k in (1, 2, 3)), F.lit(0)) if triples else F.lit(0)
         flag = lambda c: c.cast("double")
         values = {
             "length": size.cast("double"), "digits": _share(value, "[0-9]"), "uppers": _share(value, "[A-Z]"),

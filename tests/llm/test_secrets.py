@@ -1,3 +1,6 @@
+import hashlib
+import time
+
 from pyspark.sql import functions as F
 
 from clickweir.llm import secrets
@@ -50,3 +53,22 @@ def test_training_on_nothing(spark, documents):
     for docs in (documents, documents.limit(0)):
         triples, trees = secrets.trained(docs)
         assert secrets.findings(docs, triples, trees).count() == 0
+
+
+def test_covered_counts_every_triple(spark):
+    values = ["abcabcabcabcabcabc", "ABCxabcyabcabababca", "x" * 16, "abc" + "z" * 20 + "abc"]
+    docs = spark.createDataFrame([(v,) for v in values], "text string")
+    rows = docs.select("text", F.inline(secrets.candidates(F.col("text"), ["abc", "bca", "zab"]))).collect()
+    for r in rows:
+        low = r["text"].lower()
+        known = sum(low[i: i + 3] in ("abc", "bca", "zab") for i in range(len(low) - 2))
+        assert r["covered"] == known / (len(low) - 2)
+
+
+def test_a_very_long_candidate(spark):
+    """A data address of a megabyte takes seconds; its features are linear in its length."""
+    long = "".join(hashlib.sha1(str(i).encode()).hexdigest() for i in range(25_000))
+    docs = spark.createDataFrame([(1, f"data:{long}==")], "doc_id long, text string")
+    start = time.monotonic()
+    (row,) = docs.select(F.inline(secrets.candidates(F.col("text"), ["abc", "123"]))).collect()
+    assert row["length"] == 1_000_002 and time.monotonic() - start < 60
