@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -9,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickweir.sources import tables
 from clickweir.sources.session import scratch_path
 
 _SHIPPED: set[str] = set()
@@ -37,7 +39,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     costs the tasks that ran on it, not what is stored."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table_ = df.sparkSession.read.schema(df.schema).parquet(path)
+    table_.stored_path = path
+    return table_
+
+
+def superseded(df: DataFrame | None) -> None:
+    """Remove a stored frame that nothing reads any more."""
+    if df is not None:
+        tables.remove(df.sparkSession, df.stored_path)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let go of the shuffle files of frames that are gone: Spark removes them when the driver's JVM finds
+    that nothing refers to them, which by itself it may not look for in half an hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def fold(doc_id: str | Column, modulus: int) -> Column:

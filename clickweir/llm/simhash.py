@@ -225,11 +225,18 @@ def classes(edges: DataFrame) -> DataFrame:
         up = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root"))
         up = common.stored(up, "parents")
         for _ in range(3):
-            up = common.stored(_followed(up, up), "parents")
-        left = _renamed(_renamed(left, up, "a"), up, "b").where("a <> b").distinct()
-        left = common.stored(left, "links")
-        found = up if found is None else common.stored(_followed(found, up).unionByName(
+            before, up = up, common.stored(_followed(up, up), "parents")
+            common.superseded(before)
+        before, left = left, common.stored(
+            _renamed(_renamed(left, up, "a"), up, "b").where("a <> b").distinct(), "links")
+        common.superseded(before)
+        if found is None:
+            found = up
+            continue
+        before, found = found, common.stored(_followed(found, up).unionByName(
             up.join(found.select("node"), "node", "left_anti")), "classes")
+        common.superseded(before)
+        common.superseded(up)
     return left.select(F.col("a").alias("node"), F.col("b").alias("root")) if found is None else found
 
 
