@@ -290,7 +290,10 @@ def firsts(docs: DataFrame, classed: DataFrame) -> DataFrame:
         F.col("first.doc_id").alias("kept_id"), F.col("first.row").alias("kept_row")), "representatives")
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # columns may have any names
     rows = docs.select(row.alias("row"), *[F.col(c).alias(n) for c, n in names.items()])
-    same = F.col(names["doc_id"]).eqNullSafe(F.col("kept_id")) & (F.col("row") == F.col("kept_row"))
+    # Ids are compared in a way that is no key of the join, so that the rows, dealt by their hash alone, need not move again.
+    id_ = F.col(names["doc_id"]).cast("long")
+    same = (F.col("row") == F.col("kept_row")) & F.when(id_.isNull(), F.col("kept_id").isNull()).otherwise(
+        F.coalesce(F.try_subtract(id_, F.col("kept_id")) == 0, F.lit(False)))
     return rows.join(kept, same, "left_semi").dropDuplicates(["row", names["doc_id"]]).select(
         *[F.col(n).alias(c) for c, n in names.items()])
 
