@@ -367,7 +367,11 @@ def statements() -> dict[str, str]:
     out["a4_anomaly_summary"] = _sql(_summary("fl"), "fl")
     out["a5_tumbling_windows"] = _sql(
         f"SELECT {_bucket('7 HOUR')} AS window_start, count(*) AS events FROM e GROUP BY 1", "e")
-    out["a6_kpis_sliding"] = _sql(
+    out["s8_kpis_rolled_up"] = _sql(
+        """SELECT * EXCLUDE (unique_users, unique_sessions, bounce_rate, p95_response_time_ms), true AS unique_users_close,
+        true AS unique_sessions_close, true AS p95_close, CAST(round(bounce_rate * unique_sessions) AS BIGINT) AS bounced
+        FROM kp""", "b", w=_windowed("b", "1 HOUR", "1h"), kp=_kpis("b"))
+    out["a6_kpis_sliding"] = out["a6_kpis_by_panes"] = _sql(
         _kpis("b"), "b", q=_windowed("b", "15 MINUTE", "1h"),
         w="""SELECT * REPLACE (win - i * INTERVAL 15 MINUTE AS win, win + INTERVAL 1 HOUR - i * INTERVAL 15 MINUTE AS win_end)
             FROM q CROSS JOIN (SELECT unnest(range(0, 4)) AS i)""")

@@ -10,7 +10,7 @@ from clickweir import schemas
 from clickweir.functions import events as fx
 from clickweir.functions.timing import DAY_SECONDS, tumbling, window_label, window_seconds
 from clickweir.operators import (
-    alerts, anomalies, events, funnels, ingest, kpis, ordering, quantiles, rollups, sessions, summaries,
+    alerts, anomalies, events, funnels, ingest, kpis, panes, ordering, quantiles, rollups, sessions, summaries,
 )
 from clickweir.plans import bronze, gold, silver
 from clickweir.plans import live as live_plan
@@ -390,6 +390,28 @@ def a6_kpis_sliding(spark, folder):
     return kpis.windowed_kpis(dirty(spark, folder), 3600, slide_seconds=900, exact=True, as_of=NOW)
 
 
+@query
+def a6_kpis_by_panes(spark, folder):
+    return panes.sliding_kpis(dirty(spark, folder), 3600, 900, as_of=NOW)
+
+
+@query
+def s8_kpis_rolled_up(spark, folder):
+    """Hours from the stored table of five-minute panes. Estimates are replaced by whether they are near: the p95
+    by whether it lies between the exact 92 % and 98 % of the hour."""
+    path = scratch_path(spark, "panes")
+    rows = dirty(spark, folder)
+    panes.panes(rows).write.parquet(path)
+    hours = bounced(panes.rolled_up(spark.read.parquet(path), as_of=NOW))
+    exact = kpis.windowed_kpis(rows, exact=True, as_of=NOW)
+    bounds = rows.groupBy(tumbling("timestamp", 3600).getField("start").alias("window_start")).agg(
+        F.percentile_approx("response_time_ms", [0.92, 0.98]).alias("_near"))
+    value = F.col("p95_response_time_ms")
+    near = F.coalesce(value.between(F.col("_near")[0], F.col("_near")[1]), value.isNull() & F.col("_near").isNull())
+    hours = hours.join(bounds, "window_start", "left").withColumn("p95_close", near).drop("_near", "p95_response_time_ms")
+    return close(hours, exact, ["window_start"], ["unique_users", "unique_sessions"])
+
+
 @query
 def a7_a8_batch_stats(spark, folder):
     stats = anomalies.batch_stats(clicks.events(spark, folder))
