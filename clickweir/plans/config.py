@@ -23,6 +23,7 @@ class Layout:
     checkpoints: str = ""
     alert_fmt: str = "json"
     alert_options: dict = field(default_factory=dict)
+    panes: str = ""
 
     # Folder of each table below the root.
     _FOLDERS = {
@@ -31,6 +32,7 @@ class Layout:
         "silver": "silver/events_clean",
         "quarantine": "silver/quarantine",
         "kpis": "gold/kpis",
+        "panes": "gold/kpi_panes",
         "sessions": "gold/sessions",
         "funnels": "gold/funnels",
         "anomalies": "gold/anomalies",

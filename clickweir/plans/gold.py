@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clickweir.functions.timing import DAY_SECONDS, window_label, window_seconds
 from clickweir.operators.funnels import funnels
 from clickweir.operators.kpis import windowed_kpis
+from clickweir.operators.panes import PANE_SECONDS, panes, rolled_up
 from clickweir.operators.sessions import session_metrics
 from clickweir.operators.summaries import anomaly_summary
 from clickweir.plans.config import Layout
 from clickweir.plans.silver import read_silver
-from clickweir.schemas import ANOMALY_SUMMARY, FUNNEL, KPI, SESSION
+from clickweir.schemas import ANOMALY_SUMMARY, FUNNEL, KPI, KPI_PANE, SESSION, conform
 from clickweir.sources import tables
 from clickweir.sources.session import sized_shuffles, use_utc
 
@@ -24,6 +26,7 @@ MODES = ["kpis", "sessions", "funnels", "anomaly_aggs"]
 def create_tables(spark: SparkSession, layout: Layout) -> None:
     windowed = ["window_duration", "event_date"]
     tables.create_if_missing(spark, layout.kpis, KPI, windowed, layout.fmt)
+    tables.create_if_missing(spark, layout.panes, KPI_PANE, windowed, layout.fmt)
     tables.create_if_missing(spark, layout.sessions, SESSION, ["event_date"], layout.fmt)
     tables.create_if_missing(spark, layout.funnels, FUNNEL, windowed, layout.fmt)
     tables.create_if_missing(spark, layout.anomalies, ANOMALY_SUMMARY, windowed, layout.fmt)
@@ -76,6 +79,36 @@ def run_kpis(spark, layout, event_date=None, window="1h", start=None, end=None,
     )
 
 
+def run_panes(spark, layout, event_date=None, pane_seconds=PANE_SECONDS, start=None, end=None, read=None) -> dict:
+    """The panes of the dates, from which ``run_rolled_up`` makes KPIs of any width."""
+    label = window_label(_width(f"{pane_seconds}s"))
+
+    def compute(df: DataFrame) -> DataFrame:
+        dated = panes(df, pane_seconds, per_day=True).withColumns(
+            {"window_duration": F.lit(label), "event_date": F.to_date("window_start").cast("string")})
+        return conform(dated, KPI_PANE)
+
+    return _refresh(spark, layout, layout.panes, KPI_PANE, compute, ("panes_written",), event_date, start, end, label, read)
+
+
+def run_rolled_up(
+    spark, layout, event_date=None, window="1h", start=None, end=None, as_of=None, pane_seconds=PANE_SECONDS
+) -> dict[str, int]:
+    """The KPIs of ``run_kpis`` from the stored panes of the dates; silver is not read."""
+    use_utc(spark)
+    create_tables(spark, layout)
+    seconds, label = _width(window), window_label(pane_seconds)
+    stored = f"{layout.panes}/window_duration={label}" if layout.fmt == "parquet" else layout.panes
+    dates = tables.resolve_dates(spark, stored, event_date, start, end, layout.fmt)
+    if not dates:
+        return {"panes_read": 0, "kpis_written": 0}
+    rows = tables.read_dates(spark, layout.panes, KPI_PANE, *dates, window=label, fmt=layout.fmt)
+    name = window_label(seconds)
+    tables.replace_dates(rolled_up(rows, seconds, None, pane_seconds, as_of), layout.kpis, *dates, window=name, fmt=layout.fmt)
+    written = tables.read_dates(spark, layout.kpis, KPI, *dates, window=name, fmt=layout.fmt)
+    return {"panes_read": rows.count(), "kpis_written": written.count()}
+
+
 def run_sessions(spark, layout, event_date=None, start=None, end=None, as_of=None, read=None) -> dict:
     return _refresh(
         spark, layout, layout.sessions, SESSION,

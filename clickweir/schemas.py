@@ -3,12 +3,12 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType, DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType, TimestampType,
+    BinaryType, BooleanType, DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType, TimestampType,
 )
 
 _TYPES = {
     "string": StringType(), "timestamp": TimestampType(), "double": DoubleType(), "int": IntegerType(),
-    "bigint": LongType(), "boolean": BooleanType(),
+    "bigint": LongType(), "boolean": BooleanType(), "binary": BinaryType(),
 }
 
 
@@ -65,6 +65,12 @@ KPI = StructType(_fields(f"""{_WINDOW}, hour int, total_events bigint!, page_vie
     purchase_rate double, conversion_rate double, revenue_total double, revenue_avg double,
     bounce_rate double, processed_at timestamp!"""))
 
+KPI_PANE = StructType(_fields("""window_start timestamp!, pane_seconds int!, page_views bigint!, clicks bigint!,
+    add_to_carts bigint!, purchases bigint!, logins bigint!, errors bigint!, searches bigint!,
+    _response_sum bigint, _response_count bigint!, max_response_time_ms int, revenue_total double, _revenue double,
+    _revenue_count bigint!, _user_ids binary, _session_ids binary, _response_times binary, _bounced bigint!,
+    window_duration string!, event_date string!"""))
+
 SESSION = StructType(_fields("""session_id string!, user_id string, session_start timestamp!,
     session_end timestamp!, session_duration_seconds double!,
     event_count bigint!, page_view_count bigint!, click_count bigint!,
