@@ -294,10 +294,11 @@ def ranked(cut: DataFrame, parts: int) -> DataFrame:
         "rank", F.col("begin") + F.col("within")).drop("share", "begin", "within")
 
 
-def pack(cut: DataFrame, capacity: int = 2048, parts: int = 64) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = 2048, per_share: int = 50_000) -> DataFrame:
     """``cut`` (rows of ``pieces``, other columns kept) with ``sequence_id`` and ``offset``. Every row is placed once; places in
     a sequence are without gaps. Rows that are repeated are placed as often as they occur; an empty
-    table gives an empty result."""
+    table gives an empty result. Pieces of one length, which may be most of the table, are numbered in shares of
+    about ``per_share``. Of pieces of one length, those of smaller share, then doc_id, piece and ids come first."""
     spark = cut.sparkSession
     counts = cut.groupBy("length").agg(F.count("*").alias("n")).collect()  # at most ``capacity`` rows
     placed, _ = plan(sorted((r["length"], r["n"]) for r in counts), capacity)
@@ -306,6 +307,7 @@ def pack(cut: DataFrame, capacity: int = 2048, parts: int = 64) -> DataFrame:
         pd.DataFrame(placed, columns=["length", "lo", "many", "first", "offset"], dtype="int64"),
         "length long, lo long, many long, first long, offset long")
     runs = runs.withColumnRenamed("length", "of")
+    parts = max([64, *(-(-r["n"] // per_share) for r in counts)])
     rows = ranked(cut, parts)
     hit = (F.col("length") == F.col("of")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("lo") + F.col("many"))
     return rows.join(F.broadcast(runs), hit).withColumn(
