@@ -412,6 +412,38 @@ def statements() -> dict[str, str]:
     out["d13_slow_windows"] = _sql(f"""SELECT {_bucket('5 MINUTE')} AS window_start,
         quantile_disc(response_time_ms, 0.99) AS p99_response_time_ms,
         quantile_disc(response_time_ms, 0.99) > 5000 AS is_slow FROM e GROUP BY 1""", "e")
+    per5 = f"""SELECT {_bucket('5 MINUTE')} AS win, count(*) AS c, count(*) FILTER (event_type = 'purchase') AS p,
+        quantile_disc(response_time_ms, 0.99) AS q FROM sv GROUP BY 1"""
+    spine = """SELECT win, coalesce(c, 0) AS c, coalesce(p, 0) AS p, q FROM
+        (SELECT unnest(generate_series((SELECT min(win) FROM per5), (SELECT max(win) FROM per5), INTERVAL 5 MINUTE)) AS win)
+        LEFT JOIN per5 USING (win)"""
+    seen = """SELECT *, avg(c) OVER (ORDER BY win ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS a,
+        coalesce(lag(p) OVER (ORDER BY win), 0) AS b FROM spine"""
+    judged = """SELECT win, 'traffic_spike' AS kind, c AS v, a AS base, a * 3 AS lim, c > a * 3 AS hit,
+            CASE WHEN a > 0 THEN c / (a * 3) END AS s FROM seen WHERE c > 0
+        UNION ALL SELECT win, 'purchase_drop', p, b, b * 0.5::DOUBLE, b > 0 AND 1 - p / b > 0.5::DOUBLE,
+            CASE WHEN b > 0 THEN (1 - p / b) / 0.5::DOUBLE END FROM seen WHERE p > 0 OR b > 0
+        UNION ALL SELECT win, 'slow_window', q, NULL, 5000.0::DOUBLE, q > 5000, q / 5000.0::DOUBLE FROM seen WHERE q IS NOT NULL"""
+    trend = """SELECT win AS window_start, win + INTERVAL 5 MINUTE AS window_end, '5m' AS window_duration,
+        strftime(win, '%Y-%m-%d') AS event_date, kind AS trend_type, v::DOUBLE AS metric_value, base::DOUBLE AS baseline,
+        lim AS metric_threshold, CASE WHEN lim > 0 THEN least(s, 2.0::DOUBLE) WHEN hit THEN 2.0::DOUBLE END AS trend_score,
+        coalesce(hit, false) AS is_triggered FROM judged"""
+    steps = {"per5": per5, "spine": spine, "seen": seen, "judged": judged, "trend": trend}
+    out["d11_d13_trend_table"] = _sql("""SELECT * REPLACE (round(baseline, 6) AS baseline,
+        round(metric_threshold, 6) AS metric_threshold, round(trend_score, 6) AS trend_score) FROM trend""", "sv", **steps)
+    since = "strftime(window_start, '%Y-%m-%dT%H:%M:%S')"
+    out["d11_d13_trend_alerts"] = _sql(f"""SELECT concat_ws('-', 'alert', trend_type, '5m',
+            CAST(epoch(window_start) AS BIGINT), CAST(epoch({_NOW}) AS BIGINT)) AS key, event_date,
+        trend_type AS anomaly_type, round(trend_score, 6) AS anomaly_score,
+        CASE trend_type WHEN 'purchase_drop' THEN 'purchase' END AS event_type, {since} AS timestamp,
+        CASE trend_type WHEN 'slow_window' THEN CAST(metric_value AS INT) END AS response_time_ms,
+        CASE trend_type
+            WHEN 'traffic_spike' THEN format('Traffic spike detected: {{:.0f}} events in 5m from {{}}, on average {{:.1f}} before',
+                metric_value, {since}, baseline)
+            WHEN 'purchase_drop' THEN format('Purchase drop detected: {{:.0f}} purchases in 5m from {{}}, {{:.0f}} before',
+                metric_value, {since}, baseline)
+            ELSE format('Slow responses detected: 99th percentile {{:.0f}}ms in 5m from {{}}', metric_value, {since}) END AS message
+        FROM trend WHERE is_triggered""", "sv", **steps)
 
     # -- rollups
     s = _sessions("v")

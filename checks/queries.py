@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks import lake
 from clickweir import schemas
 from clickweir.functions import events as fx
-from clickweir.functions.timing import DAY_SECONDS, tumbling, window_label, window_seconds
+from clickweir.functions.timing import DAY_SECONDS, days_in, tumbling, window_label, window_seconds
 from clickweir.operators import (
     alerts, anomalies, events, funnels, ingest, kpis, panes, ordering, quantiles, rollups, sessions, summaries,
 )
@@ -485,6 +485,30 @@ def d13_slow_windows(spark, folder):
     return anomalies.slow_windows(clicks.events(spark, folder))
 
 
+def trend_lake(spark, folder):
+    """The trend job over each half of the dates: the second half takes its history from the first."""
+    own = Layout(scratch_path(spark, "trends"), silver=lake.silver_lake(spark, folder).silver)
+    first, last = lake.date_range(spark, folder)
+    days = days_in(first, last)
+    for start, end in ((days[0], days[len(days) // 2]), (days[len(days) // 2 + 1], days[-1])):
+        gold.run_trends(spark, own, start=start, end=end, as_of=NOW)
+    return own
+
+
+@query
+def d11_d13_trend_table(spark, folder):
+    rows = tables.read_table(spark, trend_lake(spark, folder).trends, schemas.TREND)
+    return rows.drop("processed_at")
+
+
+@query
+def d11_d13_trend_alerts(spark, folder):
+    sent = spark.read.schema("key string, value string, event_date string").json(trend_lake(spark, folder).trend_alerts)
+    fields = F.from_json("value", schemas.ALERT)
+    return sent.select("key", "event_date", fields.alias("a")).select(
+        "key", "event_date", "a.anomaly_type", "a.anomaly_score", "a.event_type", "a.timestamp", "a.response_time_ms", "a.message")
+
+
 # ---------------------------------------------------------------- rollups
 
 

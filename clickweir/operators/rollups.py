@@ -199,9 +199,15 @@ def duration_histogram(sessions: DataFrame, bins: int = 40) -> DataFrame:
 
 
 def numeric_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
-    """As many bins as there are distinct values, at most ``bins``."""
-    distinct = _numbers(df, column).distinct().limit(bins)
-    return histogram(df, column, bins, distinct.agg(F.count(F.lit(1)).alias("bins")))
+    """As many bins as there are distinct values, at most ``bins``.
+
+    The values are counted in a sketch per task. Up to its size, which is well above ``bins``, a theta sketch
+    holds each distinct value and counts exactly; beyond, the limit applies. So no task sends more than a sketch.
+    """
+    size = min(26, max(12, (2 * bins).bit_length()))
+    distinct = F.theta_sketch_estimate(F.theta_sketch_agg("_v", size))
+    return histogram(df, column, bins, _numbers(df, column).agg(
+        F.least(F.coalesce(distinct, F.lit(0)), F.lit(bins)).cast("bigint").alias("bins")))
 
 
 # ---------------------------------------------------------------- funnels

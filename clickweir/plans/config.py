@@ -24,6 +24,8 @@ class Layout:
     alert_fmt: str = "json"
     alert_options: dict = field(default_factory=dict)
     panes: str = ""
+    trends: str = ""
+    trend_alerts: str = ""
 
     # Folder of each table below the root.
     _FOLDERS = {
@@ -36,7 +38,9 @@ class Layout:
         "sessions": "gold/sessions",
         "funnels": "gold/funnels",
         "anomalies": "gold/anomalies",
+        "trends": "gold/trends",
         "alerts": "alerts/anomaly_alerts",
+        "trend_alerts": "alerts/trend_alerts",
         "checkpoints": "checkpoints",
     }
 

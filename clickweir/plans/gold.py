@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,12 @@ from clickweir.operators.kpis import windowed_kpis
 from clickweir.operators.panes import PANE_SECONDS, panes, rolled_up
 from clickweir.operators.sessions import session_metrics
 from clickweir.operators.summaries import anomaly_summary
+from clickweir.operators.trends import span_of, trend_alerts, trends
 from clickweir.plans.config import Layout
-from clickweir.plans.silver import read_silver
-from clickweir.schemas import ANOMALY_SUMMARY, FUNNEL, KPI, KPI_PANE, SESSION, conform
+from clickweir.plans.silver import deliver, read_silver
+from clickweir.schemas import ANOMALY_SUMMARY, FUNNEL, KPI, KPI_PANE, SESSION, TREND, conform
 from clickweir.sources import tables
+from clickweir.settings import TRAFFIC_HISTORY_WINDOWS
 from clickweir.sources.session import sized_shuffles, use_utc
 
 MODES = ["kpis", "sessions", "funnels", "anomaly_aggs"]
@@ -30,6 +33,7 @@ def create_tables(spark: SparkSession, layout: Layout) -> None:
     tables.create_if_missing(spark, layout.sessions, SESSION, ["event_date"], layout.fmt)
     tables.create_if_missing(spark, layout.funnels, FUNNEL, windowed, layout.fmt)
     tables.create_if_missing(spark, layout.anomalies, ANOMALY_SUMMARY, windowed, layout.fmt)
+    tables.create_if_missing(spark, layout.trends, TREND, windowed, layout.fmt)
 
 
 def _width(window: str) -> int:
@@ -135,6 +139,40 @@ def run_anomaly_aggs(spark, layout, event_date=None, window="1h", start=None, en
     )
 
 
+def run_trends(
+    spark, layout, event_date=None, window="5m", start=None, end=None, as_of=None, history=TRAFFIC_HISTORY_WINDOWS
+) -> dict[str, int]:
+    """Traffic, purchase and response trends of the dates, and an alert for each that is beyond its limit.
+
+    The first windows of a date are judged by the last ones of the day before, so these are read too, and no more of
+    it. Where all events begin and end is asked of the first and the last date of silver. So a range gives
+    what its days give one by one."""
+    use_utc(spark)
+    create_tables(spark, layout)
+    seconds = _width(window)
+    dates = tables.resolve_dates(spark, layout.silver, event_date, start, end, layout.fmt)
+    if not dates:
+        return {"silver_read": 0, "trends_written": 0, "trend_alerts_sent": 0}
+    halo = history * seconds
+    earliest = (date.fromisoformat(dates[0]) - timedelta(days=-(-halo // DAY_SECONDS))).isoformat()
+    opening = F.timestamp_seconds(F.unix_seconds(F.lit(dates[0]).cast("timestamp")) - halo)
+    rows = read_silver(spark, layout, earliest, dates[1]).filter(F.col("timestamp") >= opening)
+    ends = tables.date_bounds(spark, layout.silver, layout.fmt) or dates
+    span = span_of(read_silver(spark, layout, ends[0], ends[0]).unionByName(read_silver(spark, layout, ends[1], ends[1])))
+    label = window_label(seconds)
+    stored = tables.stored_bytes(spark, *tables.date_folders(spark, layout.silver, *dates))
+    with sized_shuffles(spark, stored):
+        found = trends(rows, span, seconds, history=history, as_of=as_of)
+        tables.replace_dates(
+            tables.between_dates(found, *dates), layout.trends, *dates, window=label, fmt=layout.fmt)
+    written = tables.read_dates(spark, layout.trends, TREND, *dates, window=label, fmt=layout.fmt)
+    return {
+        "silver_read": read_silver(spark, layout, *dates).count(),
+        "trends_written": written.count(),
+        "trend_alerts_sent": deliver(trend_alerts(written, as_of), layout, layout.trend_alerts, *dates),
+    }
+
+
 def run_all(
     spark, layout, event_date=None, kpi_window="1h", funnel_window="24h", start=None, end=None, as_of=None
 ) -> dict:

@@ -33,12 +33,15 @@ def _arguments(argv=None) -> argparse.Namespace:
         job.add_argument("--end-date")
         job.add_argument("--silver-path", default="")
 
+    def alerting(job):
+        job.add_argument("--alert-format", default="json", help="format of the alert sink; kafka sends messages")
+        job.add_argument("--alert-option", action="append", default=[], metavar="NAME=VALUE", help="option of the alert sink")
+
     refine = jobs.add_parser("silver", help="bronze to silver")
     dated(refine)
     refine.add_argument("--bronze-path", default="")
     refine.add_argument("--skip-anomalies", action="store_true")
-    refine.add_argument("--alert-format", default="json", help="format of the alert sink; kafka sends messages")
-    refine.add_argument("--alert-option", action="append", default=[], metavar="NAME=VALUE", help="option of the alert sink")
+    alerting(refine)
 
     follow = jobs.add_parser("live", help="keep silver and gold in step with bronze")
     follow.add_argument("--trigger-interval", default="1 minute")
@@ -48,8 +51,9 @@ def _arguments(argv=None) -> argparse.Namespace:
 
     roll = jobs.add_parser("gold", help="silver to gold")
     dated(roll)
-    roll.add_argument("--mode", choices=[*gold.MODES, "all"], default="all")
-    roll.add_argument("--window", help="window width; default 1h, funnels 24h")
+    roll.add_argument("--mode", choices=[*gold.MODES, "trends", "all"], default="all")
+    roll.add_argument("--window", help="window width; default 1h, funnels 24h, trends 5m")
+    alerting(roll)
     return parser.parse_args(argv)
 
 

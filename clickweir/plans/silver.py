@@ -35,18 +35,22 @@ def scored_events(bronze: DataFrame, as_of=None, slice_seconds: int = SLICE_SECO
     return conform(score_quality(enriched, as_of), SCORED_EVENT)
 
 
-def send_alerts(silver: DataFrame, layout: Layout, start: str, end: str, as_of=None) -> int:
-    """Write one message per anomaly to the alert sink, from the executors; returns how many. A
-    file sink holds one partition per date, so sending a date again replaces its messages."""
-    alerts = alert_rows(silver, as_of)
+def deliver(alerts: DataFrame, layout: Layout, path: str, start: str, end: str) -> int:
+    """Write alerts as messages to the sink, from the executors; returns how many. A file sink holds one
+    partition per date, so sending a date again replaces its messages."""
     if layout.alert_fmt == "kafka":
         alert_messages(alerts).write.format("kafka").options(**layout.alert_options).save()
     else:
         dated = alert_messages(alerts, event_date=F.substring("timestamp", 1, 10))
-        tables.replace_dates(dated, layout.alerts, start, end, fmt=layout.alert_fmt)
+        tables.replace_dates(dated, path, start, end, fmt=layout.alert_fmt)
     return alerts.count()
 
 
+def send_alerts(silver: DataFrame, layout: Layout, start: str, end: str, as_of=None) -> int:
+    """One message per anomaly."""
+    return deliver(alert_rows(silver, as_of), layout, layout.alerts, start, end)
+
+
 def run(
     spark: SparkSession,
     layout: Layout,

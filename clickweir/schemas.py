@@ -87,6 +87,9 @@ ANOMALY_SUMMARY = StructType(_fields(f"""{_WINDOW}, anomaly_type string!, anomal
     avg_anomaly_score double, max_anomaly_score double, severity string, triggering_metric string,
     metric_value double, metric_threshold double, processed_at timestamp!"""))
 
+TREND = StructType(_fields(f"""{_WINDOW}, trend_type string!, metric_value double!, baseline double,
+    metric_threshold double, trend_score double, is_triggered boolean!, processed_at timestamp!"""))
+
 ALERT = StructType(_fields("""alert_id string, event_id string, anomaly_type string, anomaly_score double,
     event_type string, timestamp string, detected_at string, response_time_ms int, error_code int,
     message string""") + [StructField("metadata", MapType(StringType(), StringType()))])

@@ -115,6 +115,18 @@ def latest_date(spark: SparkSession, path: str) -> str | None:
     return max(dates, default=None)
 
 
+def date_bounds(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[str, str] | None:
+    """The first and the last ``event_date`` of a table; from the folder names alone where it is files."""
+    if not exists(spark, path):
+        return None
+    if fmt == "parquet":
+        dates = [name.split("=", 1)[1] for name in _children(spark, path) if name.startswith("event_date=")]
+    else:
+        both = spark.read.format(fmt).load(path).agg(F.min("event_date"), F.max("event_date")).first()
+        dates = [day for day in both if day]
+    return (min(dates), max(dates)) if dates else None
+
+
 def latest_date_of(df: DataFrame) -> DataFrame:
     """The same from any frame, for tables that are not addressed by path."""
     return df.agg(F.max("event_date").alias("event_date"))
