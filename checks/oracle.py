@@ -439,7 +439,7 @@ def statements() -> dict[str, str]:
         CASE trend_type WHEN 'slow_window' THEN CAST(metric_value AS INT) END AS response_time_ms,
         CASE trend_type
             WHEN 'traffic_spike' THEN format('Traffic spike detected: {{:.0f}} events in 5m from {{}}, on average {{:.1f}} before',
-                metric_value, {since}, baseline)
+                metric_value, {since}, round(baseline, 1))
             WHEN 'purchase_drop' THEN format('Purchase drop detected: {{:.0f}} purchases in 5m from {{}}, {{:.0f}} before',
                 metric_value, {since}, baseline)
             ELSE format('Slow responses detected: 99th percentile {{:.0f}}ms in 5m from {{}}', metric_value, {since}) END AS message
