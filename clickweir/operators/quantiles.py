@@ -19,6 +19,13 @@ _LEADING, _NEXT = 64, 1 << 20  # cells per power of two, and cells within one of
 _SHIFT = 1100  # makes the exponents of all doubles positive
 
 
+def discrete_quantile(value: str, p: float) -> Column:
+    """An aggregate: the least value that a share ``p`` of the values does not exceed, as a double. It is exact; its
+    state is a count per distinct value, so it is for values of which a group has thousands, such as whole
+    milliseconds, however many rows there are. It also runs on a stream."""
+    return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {value})")
+
+
 def exact_quantiles(
     df: DataFrame, value: str, probs: dict[str, float], keys: list[str] = (), few_keys: bool = False
 ) -> DataFrame:

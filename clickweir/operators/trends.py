@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clickweir import settings
 from clickweir.functions.timing import instant, iso_text, tumbling, window_label
+from clickweir.operators.quantiles import discrete_quantile
 from clickweir.schemas import ALERT, TREND, conform
 
 
@@ -20,7 +21,7 @@ def _marks(df: DataFrame, window_seconds: int) -> DataFrame:
     return df.groupBy(tumbling("timestamp", window_seconds).getField("start").alias("window_start")).agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("event_type") == "purchase").alias("purchases"),
-        F.percentile_approx("response_time_ms", 0.99).alias("p99"),
+        discrete_quantile("response_time_ms", 0.99).alias("p99"),
     )
 
 

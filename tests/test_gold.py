@@ -31,6 +31,19 @@ def test_kpis(silver_events, exact):
     assert rows[11].revenue_avg is None and rows[11].revenue_total == 0.0
 
 
+@pytest.mark.parametrize("exact", [True, False])
+def test_p95_of_large_windows(spark, exact):
+    """Of 9000 events an hour, in some parts, it is no neighbour by rank."""
+    rows = spark.range(0, 180_000, 1, 12).selectExpr(
+        "string(id) AS event_id", "'click' AS event_type", "'u' AS user_id", "string(id) AS session_id", "0.0D AS amount",
+        "timestamp_seconds(1704067200 + 3600 * (id % 20)) AS timestamp", "int(pmod(xxhash64(id), 17000)) AS response_time_ms")
+    got = {r.window_start: r.p95_response_time_ms for r in kpis.windowed_kpis(rows, exact=exact).collect()}
+    values = {}
+    for r in rows.select(F.date_trunc("hour", "timestamp").alias("w"), "response_time_ms").collect():
+        values.setdefault(r.w, []).append(r.response_time_ms)
+    assert got == {w: sorted(v)[-(-95 * len(v) // 100) - 1] for w, v in values.items()}
+
+
 def test_window_of_uncounted_events_is_kept(spark):
     df = frame(spark, [silver_row("a", "logout", "2026-05-29 10:00:00", session_id=None)], schemas.SILVER_EVENT)
     row = kpis.windowed_kpis(df).first()
