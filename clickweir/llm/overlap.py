@@ -1,6 +1,11 @@
 """Near-duplicates by the overlap of shingle sets: pairs of documents whose sets of five-word shingles have
 a Jaccard similarity of at least 0.8, all of them, and the classes that these pairs join.
 
+First come the pairs that SimHash names: the sets of five-word shingles whose fingerprints are linked by the bands and
+tiles of ``simhash``, four bits apart at most. They are compared as whole sets, as all pairs here, and those that are
+similar make the first classes. But of similar sets many have fingerprints further apart, so the rest is
+found in a way that misses none, which goes by the classes there are.
+
 Put in one order, the same for all documents, two sets that are that similar share a shingle among the
 first ``n - ceil(0.8 n) + 1`` of each (n: size of the set). So documents that share none of these
 cannot be a pair, and all others are compared as whole sets; nothing is estimated. The order puts
@@ -68,7 +73,7 @@ def _digest(found: np.ndarray) -> int:
 
 
 def _mapped(docs: DataFrame, schema: str, row) -> DataFrame:
-    """``row(shingle set, other columns...)`` of each row of ``docs``, whose last column is the text; in small batches."""
+    """``row(shingle hashes, other columns...)`` of each row of ``docs``, whose last column is the text; in small batches."""
 
     def mapped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [part.split()[0] for part in schema.split(",")]
@@ -76,7 +81,7 @@ def _mapped(docs: DataFrame, schema: str, row) -> DataFrame:
             for i in range(0, len(batch), 500):
                 part = batch.iloc[i: i + 500]
                 columns = [part[c].tolist() for c in part.columns]
-                rows = [row(shingle_set(text), *rest) for text, *rest in zip(columns[-1], *columns[:-1])]
+                rows = [row(simhash.shingle_hashes(text, SIZE), *rest) for text, *rest in zip(columns[-1], *columns[:-1])]
                 yield pd.DataFrame(rows, columns=names)
 
     return docs.mapInPandas(mapped, schema)
@@ -105,6 +110,11 @@ def frequencies(docs: DataFrame, width: int = _CELLS) -> np.ndarray:
     return np.zeros(width, np.uint8) if total is None else np.minimum(255, np.round(8 * np.log2(1.0 + total))).astype(np.uint8)
 
 
+def _printed(found: np.ndarray, ranks: np.ndarray) -> tuple:
+    """What stands for a set: its digest, its size, its first hashes and its sketch."""
+    return _long(_digest(found)), len(found), prefix(found, ranks).view(np.int64), sketch(found)
+
+
 def _long(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -216,14 +226,21 @@ def _tiled(groups: DataFrame) -> DataFrame:
     return dealt.groupBy("h", "i", "j").applyInPandas(compare, "a long, b long")
 
 
+def nominated(distinct: DataFrame) -> DataFrame:
+    """``a, b``: pairs of ``fp`` (of ``distinct``: ``fp, print``) whose SimHash fingerprints ``print`` are linked. Of sets that
+    have one fingerprint each is paired with the least, and of linked fingerprints the least sets are."""
+    least = common.stored(distinct.groupBy("print").agg(F.min("fp").alias("least")), "fingerprint-sets")
+    same = distinct.select("fp", "print").join(least, "print").where("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b"))
+    linked = simhash.links(least.select(F.col("print").alias("fp")))
+    for end in "ab":
+        linked = linked.withColumnRenamed(end, "print").join(least.withColumnRenamed("least", f"of_{end}"), "print").drop("print")
+    return same.union(linked.select(F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b")))
+
+
 def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """``a, b``: pairs of ``fp`` (of the stored ``distinct``: ``fp, row, n, first, sketch``) that are similar; enough
+    """``a, b``: pairs of ``fp`` (of the stored ``distinct``: ``fp, row, n, first, sketch, print``) that are similar; enough
     of them to join all that are similar directly or by a chain."""
-    spread = distinct.select("fp", "n", F.explode("first").alias("h"))
-    shared = common.stored(spread.groupBy("h").agg(F.count("*").alias("many")).where("many > 1").select("h"), "shared-shingles")
-    left = common.stored(spread.join(shared, "h").withColumn("class", F.col("fp")), "shingle-groups")
-    common.superseded(shared)
-    sets, found = Sets(docs, distinct), None
+    sets = Sets(docs, distinct)
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Those of some pairs ``a, b`` that are similar."""
@@ -238,6 +255,15 @@ def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         common.superseded(likely)
         return similar
 
+    found = verified(nominated(distinct))
+    classed = distinct.select("fp", "n", "first").join(simhash.classes(found).withColumnRenamed("node", "fp"), "fp", "left")
+    spread = classed.select("fp", "n", F.explode("first").alias("h"), F.coalesce("root", "fp").alias("class"))
+    shared = common.stored(
+        distinct.select(F.explode("first").alias("h")).groupBy("h").agg(F.count("*").alias("many")).where("many > 1").select("h"), "shared-shingles")
+    left = common.stored(spread.join(shared, "h").select("h", "fp", "n", "class"), "shingle-groups")
+    common.superseded(shared)
+    common.tidy(docs.sparkSession)
+
     for turn in range(_STARS + 1):
         sizes = left.groupBy("h").agg(F.count("*").alias("many"), F.min("class").alias("low"), F.max("class").alias("high"))
         open_ = common.stored(sizes.where("low <> high").select("h", "many"), "open-groups")
@@ -253,7 +279,7 @@ def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
             if most > _SMALL:
                 large = rest.where(F.col("many") > _SMALL).join(distinct.select("fp", "sketch"), "fp")
                 pairs = pairs.union(_tiled(large))
-            found = _and(found, verified(pairs))
+            found = found.union(verified(pairs))
             break
         pivots = left.join(open_, "h").groupBy("h").agg(
             F.min(F.struct(F.xxhash64("fp", F.lit(turn)).alias("order"), "fp", "n", "class")).alias("pivot"))
@@ -261,7 +287,7 @@ def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         common.superseded(left)
         common.superseded(open_)
         pairs = held.where((F.col("class") != F.col("pivot.class")) & alike(F.col("n"), F.col("pivot.n")))
-        found = _and(found, verified(pairs.select(F.least("fp", "pivot.fp").alias("a"), F.greatest("fp", "pivot.fp").alias("b"))))
+        found = found.union(verified(pairs.select(F.least("fp", "pivot.fp").alias("a"), F.greatest("fp", "pivot.fp").alias("b"))))
         roots = simhash.classes(found).withColumnRenamed("node", "fp")
         left = common.stored(held.select("fp", "n", "h").join(roots, "fp", "left").select(
             "fp", "n", "h", F.coalesce("root", "fp").alias("class")), "shingle-groups")
@@ -269,11 +295,7 @@ def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         common.tidy(docs.sparkSession)
     for part in [left, distinct, *sets.parts]:
         common.superseded(part)
-    return docs.sparkSession.createDataFrame([], "a long, b long") if found is None else found
-
-
-def _and(some: DataFrame | None, more: DataFrame) -> DataFrame:
-    return more if some is None else some.union(more)
+    return found
 
 
 def representatives(docs: DataFrame) -> DataFrame:
@@ -283,11 +305,12 @@ def representatives(docs: DataFrame) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(frequencies(docs))
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), simhash.row_hash(docs).alias("row"), F.col("text").cast("binary").alias("text"))
     rows = common.stored(_mapped(
-        given.select("row", "text"), "row long, fp long, n int, first array<long>, sketch array<long>",
-        lambda s, row: (row, _long(_digest(s)), len(s), prefix(s, sent.value).view(np.int64), sketch(s))), "printed-sets")
+        given.select("row", "text"), "row long, fp long, n int, first array<long>, sketch array<long>, print long",
+        lambda hashes, row: (row, *_printed(np.unique(hashes), sent.value), _long(simhash.majority(hashes)))), "printed-sets")
     named = common.stored(rows.select("row", "fp").distinct(), "named-sets")
     distinct = common.stored(rows.groupBy("fp").agg(
-        F.min("row").alias("row"), F.min("n").alias("n"), F.first("first").alias("first"), F.first("sketch").alias("sketch")), "shingle-sets")
+        F.min("row").alias("row"), F.min("n").alias("n"), F.first("first").alias("first"), F.first("sketch").alias("sketch"),
+        F.min("print").alias("print")), "shingle-sets")
     common.superseded(rows)
     common.tidy(docs.sparkSession)
     roots = simhash.classes(links(docs, distinct)).withColumnRenamed("node", "fp")

@@ -52,15 +52,19 @@ def fingerprint(text: bytes | None, size: int = 4, seed: int = 42) -> int:
     """As an unsigned number. A-Z are lower-cased, words are what ASCII white space parts, shingles of
     ``size`` words are counted as often as they occur; a text of fewer words is one shingle, and a
     text without words (or NULL) has fingerprint zero."""
-    hashes = shingle_hashes(text, size, seed)
+    return majority(shingle_hashes(text, size, seed))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of some hashes have, as an unsigned number."""
     if not len(hashes):
         return 0
     ones = np.zeros(_BITS, dtype=np.int64)
     for i in range(0, len(hashes), 1 << 14):
         part = hashes[i: i + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    majority = np.packbits((2 * ones > len(hashes)).astype(np.uint8), bitorder="little")
-    return int(majority.view("<u8")[0])
+    bits = np.packbits((2 * ones > len(hashes)).astype(np.uint8), bitorder="little")
+    return int(bits.view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, size: int = 4, keep: list[str] | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from clickweir.llm import overlap
+from clickweir.llm import overlap, simhash
 
 
 def by_hand(text):
@@ -101,6 +101,36 @@ def test_sketches_never_reject_similar_sets():
                 assert 9 * apart <= len(a) + len(b)
 
 
+def test_simhash_names_pairs_of_the_stage(spark, corpus, monkeypatch):
+    """The stage compares what op6's bands and tiles link, in classes as by hand: no set is left out that is linked."""
+    asked, real = [], overlap.nominated
+
+    def noted(distinct):
+        out = real(distinct)
+        asked.append(({r["fp"]: r["print"] % (1 << 64) for r in distinct.collect()}, [(r["a"], r["b"]) for r in out.collect()]))
+        return out
+
+    monkeypatch.setattr(overlap, "nominated", noted)
+    docs = spark.createDataFrame(corpus, "doc_id long, text string").repartition(3)
+    got = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect())
+    assert got == brute_force(corpus)
+    (prints, pairs), = asked
+    assert prints and pairs and all(a < b for a, b in pairs)
+    fps = sorted(prints)
+
+    def classes(edges):
+        root = {x: x for x in fps}
+        for a, b in edges:
+            low, high = sorted((root[a], root[b]))
+            root = {x: low if r == high else r for x, r in root.items()}
+        return root
+
+    near = [(a, b) for i, a in enumerate(fps) for b in fps[i + 1:] if (prints[a] ^ prints[b]).bit_count() <= 4]
+    assert classes(pairs) == classes(near)
+    texts = {simhash.fingerprint((t or "").encode(), overlap.SIZE) for _, t in corpus}
+    assert set(prints.values()) <= texts
+
+
 def test_one_shingle_in_all_documents(spark):
     """Unlike documents that all begin with the same words, and a few near copies among them."""
     pick = random.Random(9)
