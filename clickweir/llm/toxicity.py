@@ -27,6 +27,7 @@ _SIZES = (3, 4, 5)
 _EDGES = ".,;:!?\"'()[]{}<>|*#$%&"
 _TOP = 3
 _LEAST = -12.0
+_PART = 1 << 13  # words whose n-grams are made at a time
 
 
 @dataclass(frozen=True)
@@ -108,8 +109,14 @@ class _Bags:
         join = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
         self.words, self.sizes, self.owner = join(words, np.int32), join(sizes, np.int64), join(owners, np.int64)
         self.cuts = np.cumsum(self.sizes) - self.sizes
-        ids, self.starts = subwords(list(number), settings.buckets) if number else (np.zeros(0, np.int64), np.zeros(1, np.int64))
-        self.ids = ids.astype(np.int32)
+        # A part of the distinct words at a time: the n-grams of all at once would take ten times what is kept of them.
+        distinct, kept_ids, counts = list(number), [], []
+        for at in range(0, len(distinct), _PART):
+            ids, starts = subwords(distinct[at: at + _PART], settings.buckets)
+            kept_ids.append(ids.astype(np.int32))
+            counts.append(np.diff(starts))
+        self.ids = join(kept_ids, np.int32)
+        self.starts = np.concatenate([[0], np.cumsum(join(counts, np.int64))])
 
     def expand(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """N-gram ids of the chosen windows in a row, and how many each window has."""

@@ -16,6 +16,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents scored as toxic (0.5 or more) go. The model learns from the labels of ``sf_dir``; where
     no kept document has one, nothing goes."""
     queries.prepared(spark)
+    common.tidy(spark)  # training needs memory that the driver's JVM may hold on to from earlier work
     columns = docs.columns
     model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
     name = _unused(columns, "_score")
@@ -24,7 +25,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more are linked; of each
+    """Documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more are linked: pairs named by
+    SimHash and then all that it misses, each compared as whole sets. Of each
     class of linked ones the row with the smallest doc_id stays, of rows that repeat that id, one."""
     queries.prepared(spark)
     return overlap.representatives(docs)

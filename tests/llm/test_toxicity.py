@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -58,3 +59,20 @@ def test_fit_without_labels_or_documents(spark, documents):
     for docs, given in ((documents, labels), (documents, labels.limit(0)), (documents.limit(0), labels)):
         model = toxicity.fit(docs, given, SETTINGS)
         assert all(0 <= r["score"] <= 1 for r in toxicity.score(documents, model, SETTINGS).collect())
+
+
+def test_training_holds_little_beyond_what_it_keeps(monkeypatch):
+    """N-grams of many distinct words are made a part at a time, and are the same ones."""
+    pick = random.Random(6)
+    texts = [" ".join("".join(pick.choices("abcdefghijkl", k=9)) for _ in range(1500)) for _ in range(60)]
+    tracemalloc.start()
+    bags = toxicity._Bags(texts, SETTINGS)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak - held < 4 * bags.ids.nbytes
+    monkeypatch.setattr(toxicity, "_PART", 7)
+    other = toxicity._Bags(texts[:3], SETTINGS)
+    monkeypatch.setattr(toxicity, "_PART", 1 << 30)
+    whole = toxicity._Bags(texts[:3], SETTINGS)
+    assert (other.ids == whole.ids).all() and (other.starts == whole.starts).all()
+    assert not len(toxicity._Bags([], SETTINGS).ids)
