@@ -43,10 +43,10 @@ def visited_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lines_folder(spark: SparkSession, folder: str) -> str:
-    """The events as JSON line files."""
+    """The events as JSON line files, compressed as such files are kept; none of them grows with the table."""
     rows = clicks.repeated(clicks.blemished(visited(spark, folder)))
     path = scratch_path(spark, "lines")
-    clicks.raw_lines(rows).write.text(path)
+    clicks.raw_lines(rows).write.option("maxRecordsPerFile", 1_000_000).text(path, compression="gzip")
     return path
 
 

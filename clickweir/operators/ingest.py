@@ -29,6 +29,11 @@ def parse_events(raw: DataFrame) -> DataFrame:
     return coerce_types(parse_raw(raw)).withColumn("error_reason", events.reject_reason())
 
 
+def without_lines(parsed: DataFrame) -> DataFrame:
+    """The line itself only where the row is rejected: no one asks for that of a clean row."""
+    return parsed.withColumn("raw_value", F.when(F.col("error_reason").isNotNull(), F.col("raw_value")))
+
+
 def clean_events(parsed: DataFrame) -> DataFrame:
     return conform(parsed.filter(F.col("error_reason").isNull()), CLEAN_EVENT)
 

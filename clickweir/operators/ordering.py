@@ -17,11 +17,12 @@ from clickweir.settings import SESSION_GAP_SECONDS, SLICE_SECONDS
 _SHARES = 4096  # of rows without a user
 
 
-def slice_width(rows: int, seconds: int, rows_per_slice: int = 2_000_000) -> float:
+def slice_width(rows: int, seconds: int, rows_per_slice: int = 2_000_000, widest: float = SLICE_SECONDS) -> float:
     """Slice width for an input of ``rows`` over ``seconds``, such that a group with a third of all
-    rows has about ``rows_per_slice`` of them in each slice; at least a microsecond."""
+    rows has about ``rows_per_slice`` of them in each slice; at least a microsecond, at most ``widest``. The
+    wider the slices, the fewer summary rows are shuffled: narrow ones hold hardly an event each."""
     per_second = rows / 3 / max(seconds, 1)
-    return max(1e-6, min(float(SLICE_SECONDS), rows_per_slice / max(per_second, 1e-9)))
+    return max(1e-6, min(float(widest), rows_per_slice / max(per_second, 1e-9)))
 
 
 def _sliced(df: DataFrame, group: list[str], ts: str, slice_seconds: float) -> tuple[DataFrame, list[str]]:

@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from clickweir.operators.ingest import clean_events, dead_letters, parse_events
+from clickweir.operators.ingest import clean_events, dead_letters, parse_events, without_lines
 from clickweir.plans.config import Layout
 from clickweir.schemas import CLEAN_EVENT, DEAD_LETTER
 from clickweir.sources import raw, tables
@@ -40,13 +40,13 @@ def run_batch(
     create_tables(spark, layout)
     lines = raw.read_array_files(spark, input_path) if json_array else raw.read_lines(spark, input_path)
     batch_id = batch_id or hashlib.sha256(input_path.encode()).hexdigest()[:16]
-    with sized_shuffles(spark, tables.stored_bytes(spark, input_path)):
-        # Parsed once, into the shared folder; both tables are written from there.
-        parsed, scratch = tables.staged(parse_events(lines), "parsed")
-        try:
+    # Parsed once, into the shared folder; both tables are written from there.
+    parsed, scratch = tables.staged(without_lines(parse_events(lines)), "parsed")
+    try:
+        with sized_shuffles(spark, tables.stored_bytes(spark, scratch)):  # the input may be compressed, this is not text
             _write(parsed, layout, batch_id, as_of, tables.replace_batch)
-        finally:
-            tables.remove(spark, scratch)
+    finally:
+        tables.remove(spark, scratch)
     # Counted in the tables, where retried tasks cannot inflate them.
     clean = tables.read_batch(spark, layout.bronze, CLEAN_EVENT, BRONZE_PARTITIONS, batch_id, layout.fmt)
     dead = tables.read_batch(spark, layout.dead_letter, DEAD_LETTER, [], batch_id, layout.fmt)
@@ -77,7 +77,7 @@ def start_stream(
             parsed.unpersist()
 
     return (
-        parse_events(events)
+        without_lines(parse_events(events))
         .writeStream.foreachBatch(write_batch)
         .queryName(name)
         .outputMode("update")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweir.functions.events import traffic_source
-from clickweir.operators.ordering import visits
+from clickweir.operators.ordering import slice_width, visits
 from clickweir.schemas import CLEAN_EVENT, conform
 from clickweir.sources.session import scratch_path, use_utc
 
@@ -48,10 +48,19 @@ FIELDS = {
 }
 
 
+def _keyed(table: DataFrame) -> DataFrame:
+    """The few columns that all fields follow from."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    return table.select("event_id", F.col("ts").cast("timestamp").alias("timestamp"), "user_id", "event_type", "value", k.alias("k"))
+
+
 def _mapped(table: DataFrame) -> DataFrame:
-    keyed = table.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return _filled(_keyed(table))
+
+
+def _filled(keyed: DataFrame, *more: str) -> DataFrame:
     fields = [f"{text} AS {name}" for name, text in FIELDS.items()]
-    return keyed.selectExpr("CAST(ts AS TIMESTAMP) AS timestamp", "k", *fields)
+    return keyed.selectExpr("timestamp", "k", *fields, *more)
 
 
 def events_path(folder: str) -> str:
@@ -87,9 +96,16 @@ def stream(spark: SparkSession, folder: str, closing: bool = False) -> DataFrame
 
 
 def visited(spark: SparkSession, folder: str) -> DataFrame:
-    """Clean events with sessions by silence, and their traffic source."""
-    rows = events(spark, folder).withColumn("traffic_source", traffic_source(F.col("referrer_url")))
-    return visits(rows, gap_seconds=GAP_SECONDS)
+    """Clean events with sessions by silence, and their traffic source. Visits are cut from the few columns of
+    the table, and the fields are added to the result, so that they are not shuffled."""
+    use_utc(spark)
+    keyed = _keyed(spark.read.parquet(events_path(folder)))
+    time = F.unix_seconds("timestamp")
+    size = keyed.agg(F.count(F.lit(1)).alias("rows"), (F.max(time) - F.min(time)).alias("seconds")).first()
+    span = (size["seconds"] or 0) + 1
+    cut = visits(keyed, gap_seconds=GAP_SECONDS, slice_seconds=slice_width(size["rows"], span, widest=span))
+    rows = _filled(cut, "session_id").withColumn("event_date", F.to_date("timestamp").cast("string"))
+    return rows.withColumn("traffic_source", traffic_source(F.col("referrer_url")))
 
 
 def blemished(df: DataFrame) -> DataFrame:
