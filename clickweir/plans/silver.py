@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.functions.timing import DAY_SECONDS, days_in, instant
+from clickweir.functions.timing import DAY_SECONDS, instant
 from clickweir.operators.alerts import alert_messages, alert_rows
 from clickweir.operators.anomalies import flag_anomalies, no_anomalies
 from clickweir.operators.events import deduplicate, enrich, score_quality, split_quality, stamp
@@ -42,7 +42,8 @@ def deliver(alerts: DataFrame, layout: Layout, path: str, start: str, end: str)
         alert_messages(alerts).write.format("kafka").options(**layout.alert_options).save()
     else:
         dated = alert_messages(alerts, event_date=F.substring("timestamp", 1, 10))
-        tables.replace_dates(dated, path, start, end, fmt=layout.alert_fmt)
+        # The rows come from a table that has its files by date, so they need not be grouped again.
+        tables.replace_dates(dated, path, start, end, fmt=layout.alert_fmt, grouped=True, options=layout.alert_options)
     return alerts.count()
 
 
@@ -72,18 +73,20 @@ def run(
     if dates is None:
         return none
     bronze = tables.read_dates(spark, layout.bronze, CLEAN_EVENT, *dates, fmt=layout.fmt)
-    bronze_read = bronze.count()  # dates without rows are rebuilt too: what an earlier run left there goes
+    days = bronze.groupBy("event_date").count().agg(F.sum("count").alias("all"), F.max("count").alias("most")).first()
+    bronze_read, fullest = days["all"] or 0, days["most"] or 0  # dates without rows are rebuilt too: what an earlier run left there goes
     if as_of is None:
         # One moment for the whole run; tasks that run again must see the same clock.
         as_of = spark.range(1).select(instant(None).alias("now")).first()["now"]
 
     stored = tables.stored_bytes(spark, *tables.date_folders(spark, layout.bronze, *dates))
     with sized_shuffles(spark, stored):
-        return {"bronze_read": bronze_read, **_rebuild(spark, layout, bronze, bronze_read, dates, skip_anomalies, as_of)}
+        return {"bronze_read": bronze_read, **_rebuild(spark, layout, bronze, fullest, dates, skip_anomalies, as_of)}
 
 
-def _rebuild(spark, layout, bronze, bronze_read, dates, skip_anomalies, as_of) -> dict[str, int]:
-    width = slice_width(bronze_read, len(days_in(*dates)) * DAY_SECONDS)
+def _rebuild(spark, layout, bronze, fullest, dates, skip_anomalies, as_of) -> dict[str, int]:
+    # Days are numbered apart, so a slice may be a whole day; the fullest one says how wide they can be.
+    width = slice_width(fullest, DAY_SECONDS, widest=DAY_SECONDS)
     scored, scratch = tables.staged(scored_events(bronze, as_of, width), "scored")
     try:
         passed, quarantined = split_quality(scored)

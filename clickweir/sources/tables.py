@@ -203,14 +203,17 @@ def read_batch(
 
 
 def replace_dates(
-    df: DataFrame, path: str, start: str, end: str, window: str | None = None, fmt: str = "parquet"
+    df: DataFrame, path: str, start: str, end: str, window: str | None = None, fmt: str = "parquet",
+    grouped: bool = False, options: dict | None = None,
 ) -> None:
     """Make the table hold exactly ``df`` for these dates (and this window duration). A date that
     now has no rows loses the partition an earlier run left: a dynamic overwrite alone keeps it.
-    A single date is written as its tasks hold it; a range is grouped by date first."""
+    A single date is written as its tasks hold it; a range is grouped by date first, unless its tasks are
+    known to hold few dates each (``grouped``)."""
     spark = df.sparkSession
     keys = ["window_duration", "event_date"] if window else ["event_date"]
-    writer = (df if start == end else balanced(df, keys)).write.format(fmt).mode("overwrite").partitionBy(*keys)
+    rows = df if grouped or start == end else balanced(df, keys)
+    writer = rows.write.format(fmt).options(**(options or {})).mode("overwrite").partitionBy(*keys)
     if fmt == "delta":
         scope = f"event_date >= '{start}' AND event_date <= '{end}'"
         scope += f" AND window_duration = '{window}'" if window else ""
@@ -230,5 +233,5 @@ def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     and still there when executors are lost. The caller removes it when done."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
