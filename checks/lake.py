@@ -50,9 +50,14 @@ def lines_folder(spark: SparkSession, folder: str) -> str:
     return path
 
 
+def job_layout(spark: SparkSession, name: str, **paths: str) -> Layout:
+    """Tables of a job in a new folder, with compressed alert files."""
+    return Layout(scratch_path(spark, name), alert_options={"compression": "gzip"}, **paths)
+
+
 def bronze_lake(spark: SparkSession, folder: str) -> Layout:
     def build():
-        layout = Layout(scratch_path(spark, "lake"))
+        layout = job_layout(spark, "lake")
         bronze.run_batch(spark, layout, lines_folder(spark, folder), as_of=clicks.AS_OF)
         return layout
 
@@ -78,17 +83,20 @@ def silver_lake(spark: SparkSession, folder: str) -> Layout:
     return _once(spark, folder, "silver", build)
 
 
-def gold_lake(spark: SparkSession, folder: str) -> Layout:
-    def build():
-        layout = silver_lake(spark, folder)
-        given = {**dates(spark, folder), "as_of": clicks.AS_OF}
-        gold.run_kpis(spark, layout, exact=True, **given)
-        gold.run_sessions(spark, layout, **given)
-        gold.run_funnels(spark, layout, exact=True, **given)
-        gold.run_anomaly_aggs(spark, layout, **given)
-        return layout
+GOLD = {
+    "kpis": lambda *at, **given: gold.run_kpis(*at, exact=True, **given),
+    "sessions": gold.run_sessions,
+    "funnels": lambda *at, **given: gold.run_funnels(*at, exact=True, **given),
+    "anomalies": gold.run_anomaly_aggs,
+}
+
 
-    return _once(spark, folder, "gold", build)
+def gold_lake(spark: SparkSession, folder: str, *names: str) -> Layout:
+    """With those gold tables that are named, each made once."""
+    layout = silver_lake(spark, folder)
+    for name in names:
+        _once(spark, folder, f"gold-{name}", lambda: GOLD[name](spark, layout, **dates(spark, folder), as_of=clicks.AS_OF))
+    return layout
 
 
 def drain(stream: DataFrame, name: str) -> DataFrame:

@@ -152,22 +152,22 @@ def s7_quarantine_table(spark, folder):
 
 @query
 def s8_gold_kpis_table(spark, folder):
-    return tables.read_table(spark, lake.gold_lake(spark, folder).kpis, schemas.KPI)
+    return tables.read_table(spark, lake.gold_lake(spark, folder, "kpis").kpis, schemas.KPI)
 
 
 @query
 def s8_gold_sessions_table(spark, folder):
-    return tables.read_table(spark, lake.gold_lake(spark, folder).sessions, schemas.SESSION)
+    return tables.read_table(spark, lake.gold_lake(spark, folder, "sessions").sessions, schemas.SESSION)
 
 
 @query
 def s8_gold_funnels_table(spark, folder):
-    return tables.read_table(spark, lake.gold_lake(spark, folder).funnels, schemas.FUNNEL)
+    return tables.read_table(spark, lake.gold_lake(spark, folder, "funnels").funnels, schemas.FUNNEL)
 
 
 @query
 def s8_gold_anomalies_table(spark, folder):
-    return tables.read_table(spark, lake.gold_lake(spark, folder).anomalies, schemas.ANOMALY_SUMMARY)
+    return tables.read_table(spark, lake.gold_lake(spark, folder, "anomalies").anomalies, schemas.ANOMALY_SUMMARY)
 
 
 @query
@@ -487,7 +487,7 @@ def d13_slow_windows(spark, folder):
 
 def trend_lake(spark, folder):
     """The trend job over each half of the dates: the second half takes its history from the first."""
-    own = Layout(scratch_path(spark, "trends"), silver=lake.silver_lake(spark, folder).silver)
+    own = lake.job_layout(spark, "trends", silver=lake.silver_lake(spark, folder).silver)
     first, last = lake.date_range(spark, folder)
     days = days_in(first, last)
     for start, end in ((days[0], days[len(days) // 2]), (days[len(days) // 2 + 1], days[-1])):
@@ -520,7 +520,7 @@ def r1_overview(spark, folder):
 
 @query
 def r2_stage_counts(spark, folder):
-    layout = lake.gold_lake(spark, folder)
+    layout = lake.gold_lake(spark, folder, "kpis", "sessions")
     return rollups.stage_counts({
         "bronze": bronze_table(spark, layout),
         "silver": tables.read_table(spark, layout.silver, schemas.SILVER_EVENT),
@@ -750,7 +750,7 @@ def t4_live_visits(spark, folder):
 def live_lake(spark, folder):
     """Bronze in three parts, the last of which has late rows of the first dates, with live silver after each."""
     bronze_of = bronze_table(spark, lake.bronze_lake(spark, folder))
-    layout = Layout(scratch_path(spark, "live"))
+    layout = lake.job_layout(spark, "live")
     part = F.when(F.pmod(F.xxhash64("event_id"), F.lit(10)) == 0, 2).when(F.col("event_date") < "2024-01-16", 0).otherwise(1)
     for n in range(3):
         tables.append_batch(bronze_of.filter(part == n), layout.bronze, bronze.BRONZE_PARTITIONS, f"part-{n}")
@@ -790,7 +790,7 @@ def rerun_on_nothing(spark, folder):
     """Silver and gold of all dates, then again after the bronze rows of half of them are gone."""
     layout = lake.bronze_lake(spark, folder)
     first, last = lake.date_range(spark, folder)
-    own = Layout(scratch_path(spark, "emptied"), bronze=layout.bronze)
+    own = lake.job_layout(spark, "emptied", bronze=layout.bronze)
     silver.run(spark, own, start=first, end=last, as_of=NOW)
     gold.run_all(spark, own, start=first, end=last, as_of=NOW)
     bare = Layout(own.root, bronze=scratch_path(spark, "no-bronze"))
@@ -821,7 +821,7 @@ def b4_emptied_date(spark, folder):
 def b7_rerun_skips(spark, folder):
     bronze_of = lake.bronze_lake(spark, folder)
     first, last = lake.date_range(spark, folder)
-    own = Layout(scratch_path(spark, "skipped"), bronze=bronze_of.bronze)
+    own = lake.job_layout(spark, "skipped", bronze=bronze_of.bronze)
     for skip in (False, True):
         silver.run(spark, own, start=first, end=last, as_of=NOW, skip_anomalies=skip)
     return spark.read.schema("key string, value string, event_date string").json(own.alerts).select("key", "event_date")
