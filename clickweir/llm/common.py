@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import zipfile
@@ -52,8 +53,12 @@ def superseded(df: DataFrame | None) -> None:
 
 def tidy(spark: SparkSession) -> None:
     """Let go of the shuffle files of frames that are gone: Spark removes them when the driver's JVM finds
-    that nothing refers to them, which by itself it may not look for in half an hour."""
+    that nothing refers to them, which by itself it may not look for in half an hour. What Python has freed here,
+    as after training, goes back to the system where the C library can do that; it keeps it otherwise."""
     gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
     spark.sparkContext._jvm.System.gc()
 
 

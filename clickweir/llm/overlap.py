@@ -256,6 +256,7 @@ def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         return similar
 
     found = verified(nominated(distinct))
+    common.tidy(docs.sparkSession)
     classed = distinct.select("fp", "n", "first").join(simhash.classes(found).withColumnRenamed("node", "fp"), "fp", "left")
     spread = classed.select("fp", "n", F.explode("first").alias("h"), F.coalesce("root", "fp").alias("class"))
     shared = common.stored(
@@ -303,6 +304,7 @@ def representatives(docs: DataFrame) -> DataFrame:
     with the least hash of all columns. Of rows that are equal throughout one stays. An empty table
     gives an empty result."""
     sent = docs.sparkSession.sparkContext.broadcast(frequencies(docs))
+    common.tidy(docs.sparkSession)  # the tables that were added up
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), simhash.row_hash(docs).alias("row"), F.col("text").cast("binary").alias("text"))
     rows = common.stored(_mapped(
         given.select("row", "text"), "row long, fp long, n int, first array<long>, sketch array<long>, print long",

@@ -29,6 +29,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     SimHash and then all that it misses, each compared as whole sets. Of each
     class of linked ones the row with the smallest doc_id stays, of rows that repeat that id, one."""
     queries.prepared(spark)
+    common.tidy(spark)  # what training took
     return overlap.representatives(docs)
 
 
