@@ -8,6 +8,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from clickweir.sources import tables
 from clickweir.sources.session import scratch_path
 
 _SHIPPED: set[str] = set()
+_TRIM = "systemTrimNativeHeap"  # a diagnostic command of JVMs on Linux, from some update of Java 17 on
 
 
 def ship(spark: SparkSession) -> None:
@@ -54,12 +56,22 @@ def superseded(df: DataFrame | None) -> None:
 def tidy(spark: SparkSession) -> None:
     """Let go of the shuffle files of frames that are gone: Spark removes them when the driver's JVM finds
     that nothing refers to them, which by itself it may not look for in half an hour. What Python has freed here,
-    as after training, goes back to the system where the C library can do that; it keeps it otherwise."""
+    as after training, goes back to the system where the C library can do that; it keeps it otherwise. So does what
+    the JVM has freed outside its heap: hundreds of its threads plan, compile and broadcast, each with memory of its own."""
     gc.collect()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)
-    spark.sparkContext._jvm.System.gc()
+    jvm = spark.sparkContext._jvm
+    jvm.System.gc()
+    bean = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+    told = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)  # neither arguments nor their types
+    told[0], told[1] = bean, _TRIM
+    called = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+    try:
+        called.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), told)
+    except Py4JJavaError:  # a JVM that has no such command
+        pass
 
 
 def fold(doc_id: str | Column, modulus: int) -> Column:

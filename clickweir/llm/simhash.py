@@ -219,21 +219,21 @@ def _units(rows: pd.DataFrame, radius: int) -> pd.DataFrame:
 
 def classes(edges: DataFrame) -> DataFrame:
     """``node, root``: for every end of an edge ``(a, b)`` the least node (as a signed number) of its
-    connected class. Each round points every node to its least neighbour, shortens the paths three
-    times and contracts the edges; nodes go down by a constant factor per round. Every step is a
+    connected class. Each round points every node to its least neighbour, goes three steps further along
+    these paths and contracts the edges; nodes go down by a constant factor per round. Every step is a
     join or an aggregation of tables that are written in the shared folder."""
     left = common.stored(edges.select("a", "b").where("a <> b").distinct(), "links")
     found: DataFrame | None = None
     while not left.isEmpty():
         both = left.union(left.select("b", "a"))
         up = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root"))
-        up = common.stored(up, "parents")
-        for _ in range(3):
-            before, up = up, common.stored(_followed(up, up), "parents")
-            common.superseded(before)
+        near = common.stored(up, "nearest")
+        up = common.stored(_followed(_followed(_followed(near, near), near), near), "parents")  # one plan, not three
+        common.superseded(near)
         before, left = left, common.stored(
             _renamed(_renamed(left, up, "a"), up, "b").where("a <> b").distinct(), "links")
         common.superseded(before)
+        common.tidy(edges.sparkSession)
         if found is None:
             found = up
             continue

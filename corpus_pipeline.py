@@ -36,12 +36,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a passage of the benchmark occurs go."""
     queries.prepared(spark)
+    common.tidy(spark)
     return decontamination.clean(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts; all documents stay, and ``n_chars`` follows the text."""
     queries.prepared(spark)
+    common.tidy(spark)
     kept = secrets.masked(docs, *secrets.trained(docs))
     if "n_chars" in docs.columns:
         changed = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -52,6 +54,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 2048 tokens."""
     queries.prepared(spark)
+    common.tidy(spark)
     return queries.packed(docs)
 
 
