@@ -71,8 +71,8 @@ def start_stream(
     def write_batch(batch: DataFrame, epoch: int) -> None:
         parsed = batch.persist()
         try:
-            if not parsed.isEmpty():
-                _write(parsed, layout, f"{name}-{epoch}", as_of)
+            # Whether there are rows is not asked: one task would parse a whole file for that while all others wait.
+            _write(parsed, layout, f"{name}-{epoch}", as_of)
         finally:
             parsed.unpersist()
 

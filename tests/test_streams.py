@@ -257,3 +257,17 @@ def test_replayed_batch_writes_nothing_twice(spark, tmp_path):
     run()
     assert tables.read_table(spark, layout.bronze, schemas.CLEAN_EVENT).count() == 2
     assert tables.read_table(spark, layout.dead_letter, schemas.DEAD_LETTER).count() == 1
+
+
+def test_a_bronze_batch_is_not_parsed_by_one_task_first(spark, tmp_path, monkeypatch):
+    """A question for one row of a micro-batch would have its whole first file parsed by one task, and all others wait."""
+    lines = [json.dumps({"event_id": f"e{i}", "event_type": "click", "timestamp": "2026-05-29T10:00:00+00:00"}) for i in range(4)]
+    for line in lines:
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(str(tmp_path / "lines"))
+    asked = []
+    for kind in {type(spark.range(1)), *type(spark.range(1)).__mro__[:-1]}:
+        if "isEmpty" in vars(kind):
+            monkeypatch.setattr(kind, "isEmpty", lambda self, f=vars(kind)["isEmpty"]: asked.append(1) or f(self))
+    layout = Layout(str(tmp_path / "t"))
+    bronze.start_stream(raw.stream_lines(spark, str(tmp_path / "lines")), layout, trigger={"availableNow": True}).awaitTermination()
+    assert tables.read_table(spark, layout.bronze, schemas.CLEAN_EVENT).count() == 4 and not asked
