@@ -47,6 +47,9 @@ _CELLS = 1 << 20
 _DEPTH = 3
 _STARS = 4
 _SMALL = 64
+_TILE = 1024
+_HASHES = 1 << 16, 1 << 20
+_SPREAD = 8
 _BITS = 512
 _MARKS = 26
 
@@ -201,31 +204,90 @@ class Sets:
         common.superseded(new)
 
 
+def _dealt(members: DataFrame, tiles: Column, key: str, *columns: str) -> DataFrame:
+    """Members of groups ``key`` once for each pair ``i, j`` of tiles that their own is in."""
+    own = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("tiles")).cast("int")
+    spread = members.withColumn("tiles", tiles.cast("int")).withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return spread.select(key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "fp", "n", "class", *columns)
+
+
+def _facing(at: np.ndarray, first: np.ndarray, one: bool) -> Iterator[tuple[int, slice | np.ndarray]]:
+    """Places in ``at`` and of what each is compared with: in one tile all that follow, else those of the other tile."""
+    if one:
+        yield from ((k, slice(k + 1, None)) for k in range(len(at) - 1))
+    else:
+        others = np.flatnonzero(~first[at])
+        yield from ((k, others) for k in np.flatnonzero(first[at]))
+
+
 def _tiled(groups: DataFrame) -> DataFrame:
-    """``a, b``: pairs of members of large groups (``h, fp, n, class, sketch, many``) that pass the test."""
-    tiles = F.ceil(F.col("many") / _SMALL).cast("int")
-    own = F.pmod(F.xxhash64("fp", F.lit(1)), tiles).cast("int")
-    dealt = groups.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1))).select(
-        "h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "fp", "n", "class", "sketch")
+    """``a, b``: of the pairs of members of large groups (``h, fp, n, class, sketch, many``) that pass the test, a forest for
+    each unit, which joins the same members."""
+    dealt = _dealt(groups, F.ceil(F.col("many") / _TILE), "h", "sketch")
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        first = (rows["own"] == key[1]).to_numpy()
+        first, one = (rows["own"] == key[1]).to_numpy(), key[1] == key[2]
         fp, size, kind = (rows[c].to_numpy(np.int64) for c in ("fp", "n", "class"))
-        bits = np.stack([folded(np.asarray(x, np.int64), _BITS // 64) for x in rows["sketch"].tolist()]).view(np.uint64)
-        left, right = np.flatnonzero(first), np.flatnonzero(~first) if key[1] != key[2] else np.arange(len(rows))
+        sketches = [np.asarray(x, np.int64) for x in rows["sketch"].tolist()]
+        length, label = np.array([len(x) for x in sketches]), np.arange(len(rows))
         out = [np.zeros((0, 2), dtype=np.int64)]
-        for x in left:
-            both = size[right] + size[x]
-            apart = np.bitwise_count(bits[right] ^ bits[x]).sum(axis=1, dtype=np.int64)
-            near = 10 * np.minimum(size[right], size[x]) >= TENTHS * np.maximum(size[right], size[x])
-            hit = right[near & (9 * apart <= both) & (kind[right] != kind[x]) & (fp[right] != fp[x])]
-            out.append(np.stack([np.minimum(fp[hit], fp[x]), np.maximum(fp[hit], fp[x])], axis=1))
-        pairs = np.unique(np.concatenate(out), axis=0)
+        for words in np.unique(length):  # sizes that are alike differ by one fold at most
+            at = np.flatnonzero((length == words) | (length == 2 * words))
+            bits = np.stack([folded(sketches[x], words) for x in at]).view(np.uint64)
+            for k, facing in _facing(at, first, one):
+                x, right = at[k], at[facing]
+                both = size[right] + size[x]
+                apart = np.bitwise_count(bits[facing] ^ bits[k]).sum(axis=1, dtype=np.int64)
+                near = 10 * np.minimum(size[right], size[x]) >= TENTHS * np.maximum(size[right], size[x])
+                folds = (length[right] == words) | (length[x] == words)
+                hit = right[near & folds & (9 * apart <= both) & (kind[right] != kind[x]) & (label[right] != label[x])]
+                labels, place = np.unique(label[hit], return_index=True)
+                if len(labels):
+                    hit = hit[place]
+                    label[np.isin(label, labels)] = label[x]
+                    out.append(np.stack([np.minimum(fp[hit], fp[x]), np.maximum(fp[hit], fp[x])], axis=1))
+        pairs = np.concatenate(out)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return dealt.groupBy("h", "i", "j").applyInPandas(compare, "a long, b long")
 
 
+def _compared(members: DataFrame) -> DataFrame:
+    """``a, b``: of the similar pairs within parts (``part, fp, n, class, hashes``) a forest for each unit, which joins the same classes.
+    Parts of some size are dealt into ``_SPREAD`` tiles, for as many tasks as these have pairs, and into more where a tile would be large."""
+    few, most = _HASHES
+    tiles = F.greatest(F.least(F.ceil(F.sum("n") / few), F.lit(_SPREAD)), F.ceil(F.sum("n") / most), F.ceil(F.count("*") / (2 * _TILE)), F.lit(1))
+    sizes = members.groupBy("part").agg(tiles.alias("tiles"))
+    dealt = _dealt(members.join(sizes, "part"), F.col("tiles"), "part", "hashes")
+
+    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        first, one = (rows["own"] == key[1]).to_numpy(), key[1] == key[2]
+        fp, size, kind = (rows[c].to_numpy(np.int64) for c in ("fp", "n", "class"))
+        kind = kind.copy()
+        sets = [np.asarray(x, np.int64).view(np.uint64) for x in rows["hashes"].tolist()]
+        width = min(1 << 15, max(1 << 12, 8 << int(size.max()).bit_length()))  # finer than the sketches; what passes is compared in any case
+        bits = np.stack([np.packbits((np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8))
+                         for s in sets]).view(np.uint64)
+        out = []
+        for x, facing in _facing(np.arange(len(rows)), first, one):
+            right = np.arange(len(rows))[facing]
+            right = right[(kind[right] != kind[x]) & (10 * np.minimum(size[right], size[x]) >= TENTHS * np.maximum(size[right], size[x]))]
+            apart = np.bitwise_count(bits[right] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            passed = 9 * apart <= size[right] + size[x]
+            for y in right[passed][np.argsort(apart[passed], kind="stable")]:
+                if kind[y] == kind[x]:
+                    continue
+                common_ = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if (10 + TENTHS) * common_ >= TENTHS * int(size[x] + size[y]):
+                    out.append((min(fp[x], fp[y]), max(fp[x], fp[y])))
+                    kind[kind == kind[y]] = kind[x]
+        pairs = np.array(out, dtype=np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return dealt.groupBy("part", "i", "j").applyInPandas(compare, "a long, b long")
+
+
 def nominated(distinct: DataFrame) -> DataFrame:
     """``a, b``: pairs of ``fp`` (of ``distinct``: ``fp, print``) whose SimHash fingerprints ``print`` are linked. Of sets that
     have one fingerprint each is paired with the least, and of linked fingerprints the least sets are."""
@@ -277,10 +339,16 @@ def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
             x = small.select("h", F.col("fp").alias("a"), F.col("n").alias("m"), F.col("class").alias("mine"))
             y = small.select("h", F.col("fp").alias("b"), "n", "class")
             pairs = x.join(y, "h").where((F.col("a") < F.col("b")) & (F.col("mine") != F.col("class")) & alike(F.col("m"), F.col("n"))).select("a", "b")
-            if most > _SMALL:
-                large = rest.where(F.col("many") > _SMALL).join(distinct.select("fp", "sketch"), "fp")
-                pairs = pairs.union(_tiled(large))
             found = found.union(verified(pairs))
+            if most > _SMALL:
+                large = rest.where(F.col("many") > _SMALL)
+                forest = common.stored(_tiled(large.join(distinct.select("fp", "sketch"), "fp")).distinct(), "candidates")
+                parts = simhash.classes(forest).select(F.col("node").alias("fp"), F.col("root").alias("part"))
+                members = common.stored(large.select("fp", "n", "class").distinct().join(parts, "fp"), "parts")
+                sets.ask(members.select("fp"))
+                found = found.union(common.stored(_compared(members.join(sets.all(), "fp")).distinct(), "similar-pairs"))
+                for part in [forest, members]:
+                    common.superseded(part)
             break
         pivots = left.join(open_, "h").groupBy("h").agg(
             F.min(F.struct(F.xxhash64("fp", F.lit(turn)).alias("order"), "fp", "n", "class")).alias("pivot"))

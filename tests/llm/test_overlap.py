@@ -160,3 +160,40 @@ def test_ids_that_are_null_repeated_or_extreme(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted(((r["doc_id"], r["text"]) for r in overlap.representatives(docs).collect()), key=str)
     assert got == sorted([(5, a), (low, b), (None, c), (7, d), (7, a + b), (high, c + d)], key=str)
+
+
+@pytest.mark.parametrize("tile,hashes", [(1024, (1 << 16, 1 << 20)), (7, (200, 3000))])
+def test_large_groups_of_near_copies_list_no_square_of_pairs(spark, corpus, monkeypatch, tile, hashes):
+    """Edited copies of one text, most pairs of them a little too far apart: what comes out of the groups is at most a pair for each row
+    of a unit, and what comes out of the parts joins the classes by hand; in one tile and in many."""
+    monkeypatch.setattr(overlap, "_TILE", tile, raising=False)
+    monkeypatch.setattr(overlap, "_HASHES", hashes, raising=False)
+    monkeypatch.setattr(overlap, "_STARS", 0)
+    made = {}
+
+    def noted(name, real):
+        def run(rows):
+            out = real(rows)
+            made[name] = rows.count(), out.collect()
+            return out
+        return run
+
+    monkeypatch.setattr(overlap, "_tiled", noted("groups", overlap._tiled))
+    monkeypatch.setattr(overlap, "_compared", noted("parts", getattr(overlap, "_compared", None)), raising=False)
+    pick, words = random.Random(6), [f"w{i}" for i in range(9000)]
+    base = pick.choices(words, k=400)
+    rows = []
+    for i in range(130):
+        changed = list(base)
+        for at in pick.sample(range(400), pick.randint(4, 7)):
+            changed[at] = pick.choice(words)
+        rows.append((i, " ".join(changed)))
+    rows += [(1000 + i, t) for i, t in corpus]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(r["doc_id"] for r in overlap.representatives(docs).collect())
+    assert got == brute_force(rows)
+    asked, pairs = made["groups"]
+    tiles = -(-len(rows) // tile)
+    assert pairs and len(pairs) < asked * tiles
+    asked, pairs = made["parts"]
+    assert pairs and len(pairs) < asked * tiles
