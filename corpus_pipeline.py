@@ -11,12 +11,23 @@ from pyspark.sql import functions as F
 
 from clickweir.llm import common, decontamination, overlap, packing, queries, secrets, toxicity
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_ROWS = 2000
+
+
+def _prepared(spark: SparkSession) -> None:
+    """Memory from earlier work is given back, and whole texts go to Python in batches that are small beside the heap of a task."""
+    queries.prepared(spark)
+    given = int(spark.conf.get(_BATCH))
+    if not 0 < given <= _ROWS:
+        spark.conf.set(_BATCH, str(_ROWS))
+    common.tidy(spark)
+
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic (0.5 or more) go. The model learns from the labels of ``sf_dir``; where
     no kept document has one, nothing goes."""
-    queries.prepared(spark)
-    common.tidy(spark)  # training needs memory that the driver's JVM may hold on to from earlier work
+    _prepared(spark)  # training needs memory that the driver's JVM may hold on to from earlier work
     columns = docs.columns
     model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
     name = _unused(columns, "_score")
@@ -28,22 +39,19 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more are linked: pairs named by
     SimHash and then all that it misses, each compared as whole sets. Of each
     class of linked ones the row with the smallest doc_id stays, of rows that repeat that id, one."""
-    queries.prepared(spark)
-    common.tidy(spark)  # what training took
+    _prepared(spark)  # what training took goes
     return overlap.representatives(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a passage of the benchmark occurs go."""
-    queries.prepared(spark)
-    common.tidy(spark)
+    _prepared(spark)
     return decontamination.clean(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts; all documents stay, and ``n_chars`` follows the text."""
-    queries.prepared(spark)
-    common.tidy(spark)
+    _prepared(spark)
     kept = secrets.masked(docs, *secrets.trained(docs))
     if "n_chars" in docs.columns:
         changed = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -53,8 +61,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 2048 tokens."""
-    queries.prepared(spark)
-    common.tidy(spark)
+    _prepared(spark)
     return queries.packed(docs)
 
 

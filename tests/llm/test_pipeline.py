@@ -61,3 +61,16 @@ def test_stages_on_no_documents_and_more_columns(spark):
             given = common.stored(stage(spark, given, FOLDER), "test-stage")
             assert given.columns == docs.columns, name
         corpus_pipeline.STAGES[-1][1](spark, given, FOLDER).count()
+
+
+@pytest.mark.parametrize("given,left", [("10000", "2000"), ("0", "2000"), ("500", "500")])
+def test_stages_send_small_batches_of_texts(spark, given, left):
+    """Batches are made smaller than Spark's, never larger than was asked for; 0 stands for no bound."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, given)
+    try:
+        corpus_pipeline.decontamination_stage(spark, common.table(spark, FOLDER, "documents"), FOLDER)
+        assert spark.conf.get(name) == left
+    finally:
+        spark.conf.set(name, before)
