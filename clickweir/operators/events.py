@@ -37,13 +37,13 @@ def enrich_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def number_events(df: DataFrame, per_day: bool = False, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+def number_events(df: DataFrame, per_day: bool = False, slice_seconds: float | None = SLICE_SECONDS) -> DataFrame:
     """``event_number_in_session`` by timestamp, then event id."""
     group = ["session_id", "event_date"] if per_day else ["session_id"]
     return number_in_group(df, group, "event_number_in_session", slice_seconds=slice_seconds)
 
 
-def enrich(df: DataFrame, per_day: bool = False, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+def enrich(df: DataFrame, per_day: bool = False, slice_seconds: float | None = SLICE_SECONDS) -> DataFrame:
     return enrich_columns(number_events(df, per_day, slice_seconds))
 
 

@@ -44,10 +44,13 @@ def number_in_group(
     out: str,
     ts: str = "timestamp",
     tiebreak: str = "event_id",
-    slice_seconds: float = SLICE_SECONDS,
+    slice_seconds: float | None = SLICE_SECONDS,
 ) -> DataFrame:
-    """1, 2, 3, ... within each group by ``ts`` then ``tiebreak``; NULL groups number as one."""
-    rows, keys = _sliced(df, group, ts, slice_seconds)
+    """1, 2, 3, ... within each group by ``ts`` then ``tiebreak``; NULL groups number as one. Without ``slice_seconds`` groups are
+    not cut: for those known to be small, whose rows are then asked for once, not again for the counts of their slices."""
+    rows, keys = _sliced(df, group, ts, slice_seconds or SLICE_SECONDS)
+    if slice_seconds is None:
+        return rows.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(ts, tiebreak)).cast("bigint")).drop(*keys, "_slice")
     inside = Window.partitionBy(*keys, "_slice").orderBy(ts, tiebreak)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     # Only slices with earlier rows are joined back; most sessions lie within one slice.

@@ -90,3 +90,12 @@ def test_a_third_of_the_rows_in_one_second(spark):
         assert seen.count() == 6000 and seen.filter("user_id is null and session_id is not null").count() == 0
     fine, coarse = (visits(rows, gap_seconds=60, slice_seconds=w).select("event_id", "session_id") for w in (0.001, 300))
     assert fine.exceptAll(coarse).count() == 0
+
+
+def test_groups_that_are_not_cut(spark):
+    """Rows without a time come first and NULL groups number as one, as with slices."""
+    rows = spark.sql("""SELECT CAST(id AS string) AS event_id, IF(id % 3 = 0, NULL, CONCAT('s', id % 5)) AS user_id,
+        IF(id % 7 = 0, NULL, TIMESTAMP_SECONDS(1700000000 + (id * 7919) % 4000)) AS timestamp FROM RANGE(500)""")
+    whole, cut = (number_in_group(rows, ["user_id"], "n", slice_seconds=w) for w in (None, 60))
+    assert whole.columns == cut.columns
+    assert whole.exceptAll(cut).count() == cut.exceptAll(whole).count() == 0

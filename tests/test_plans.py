@@ -66,3 +66,21 @@ def test_sessions_take_one_shuffle(spark, table):
 def test_funnel_steps_are_filtered_at_the_scan(spark, table):
     text = plan(funnels.funnels(tables.read_table(spark, table, schemas.CLEAN_EVENT)))
     assert re.search(r"PartitionFilters: \[[^\]]*event_type[#\d]* IN", text)
+
+
+def test_silver_reads_bronze_once_where_days_are_small(spark, table, tmp_path, monkeypatch):
+    """What the silver job stages scans bronze once; numbers of events are those of cut groups."""
+    seen, real = [], tables.staged
+
+    def noted(df, name):
+        seen.append((plan(df), df))
+        return real(df, name)
+
+    monkeypatch.setattr(silver.tables, "staged", noted)
+    first, last = "2024-01-01", "2024-01-30"
+    silver.run(spark, silver.Layout(str(tmp_path), bronze=table), start=first, end=last, as_of=clicks.AS_OF)
+    (text, df), = seen
+    assert text.split("== Initial Plan ==")[-1].count("FileScan") == 1
+    cut = silver.scored_events(tables.read_dates(spark, table, schemas.CLEAN_EVENT, first, last), clicks.AS_OF, 300)
+    named = [d.select("event_id", "event_date", "event_number_in_session") for d in (df, cut)]
+    assert named[0].exceptAll(named[1]).count() == named[1].exceptAll(named[0]).count() == 0 < named[0].count()
