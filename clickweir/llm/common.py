@@ -37,11 +37,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The frame written to the shared folder and read back: lineage ends here, and a lost executor
-    costs the tasks that ran on it, not what is stored."""
+    costs the tasks that ran on it, not what is stored. ``options`` go to the writer."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     table_ = df.sparkSession.read.schema(df.schema).parquet(path)
     table_.stored_path = path
     return table_
@@ -53,15 +53,20 @@ def superseded(df: DataFrame | None) -> None:
         tables.remove(df.sparkSession, df.stored_path)
 
 
+def trim() -> None:
+    """What Python has freed in this process goes back to the system where the C library can do that; it keeps it otherwise."""
+    gc.collect()
+    given_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if given_back:
+        given_back(0)
+
+
 def tidy(spark: SparkSession) -> None:
     """Let go of the shuffle files of frames that are gone: Spark removes them when the driver's JVM finds
     that nothing refers to them, which by itself it may not look for in half an hour. What Python has freed here,
-    as after training, goes back to the system where the C library can do that; it keeps it otherwise. So does what
+    as after training, goes back to the system. So does what
     the JVM has freed outside its heap: hundreds of its threads plan, compile and broadcast, each with memory of its own."""
-    gc.collect()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
+    trim()
     jvm = spark.sparkContext._jvm
     jvm.System.gc()
     bean = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
